@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 
 from salesprism.functions.exact import floor_div
 
-BUCKET = 1 << 20
+BUCKET_BITS = 20
+BUCKET = 1 << BUCKET_BITS
 
 Fraction = tuple[int, int]
 
@@ -26,7 +27,9 @@ Fraction = tuple[int, int]
 def value_ranks(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
     """Per distinct value: its rows ``n``, the rows ``before`` it and the ``total``.
 
-    Null values are left out. One bucket holds at most ``BUCKET`` distinct values,
+    Null values are left out. The counts feed both sides of the join from one shuffle:
+    the bucket is a shift, which is never null here, so no filter is inferred for one
+    side only. One bucket holds at most ``BUCKET`` distinct values,
     and a group's bucket list has at most (value range / ``BUCKET``) rows.
     """
     group = list(group)
@@ -34,7 +37,7 @@ def value_ranks(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFra
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", floor_div(F.col(value), F.lit(BUCKET)))
+        .withColumn("bucket", F.shiftright(F.col(value), BUCKET_BITS))
     )
     by_group = Window.partitionBy(*group)
     earlier = by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

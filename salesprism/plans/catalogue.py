@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from salesprism.plans.cleaning import CLEANING
 from salesprism.plans.named import NAMED
 from salesprism.plans.registry import NamedQuery
 
 
 def all_queries() -> dict[str, NamedQuery]:
-    listed = [*NAMED]
+    listed = [*NAMED, *CLEANING]
     found = {q.key: q for q in listed}
     if len(found) != len(listed):
         raise ValueError("two registered queries share a key")

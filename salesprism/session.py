@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,37 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so a lost executor loses no rows.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary folder.
+    Only a local session without that setting gets a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and context.getCheckpointDir() is not None:
+        folder = context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="salesprism-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="salesprism-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint, so a lost executor loses no rows."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """Write the rows as a Parquet table in the shared folder and read it back.
+
+    For tables that several later passes read: each pass scans only its own columns,
+    and a lost executor loses no work. The files stay until the folder is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/salesprism-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
