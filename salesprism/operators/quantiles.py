@@ -107,12 +107,15 @@ def scaled_quantiles(
     )
 
 
-def quantile_bins(df: DataFrame, value: str, bins: int, output: str) -> DataFrame:
+def quantile_bins(
+    df: DataFrame, value: str, bins: int, output: str, source: DataFrame | None = None
+) -> DataFrame:
     """Equal-count bins 1..``bins`` on value edges, right closed; ties share a bin.
 
-    Equal edges merge: a value gets the lowest bin whose upper edge reaches it.
+    Equal edges merge: a value gets the lowest bin whose upper edge reaches it. The
+    edges come from ``source`` where given: the same rows under a shorter plan.
     """
-    edges = scaled_quantiles(df, value, {f"e{i}": (i, bins) for i in range(1, bins)})
+    edges = scaled_quantiles(df if source is None else source, value, {f"e{i}": (i, bins) for i in range(1, bins)})
     packed = edges.select(F.array(*[f"e{i}" for i in range(1, bins)])).scalar()
     with_edges = df.withColumn("_edges", packed)
     above = F.size(F.filter("_edges", lambda edge: F.col(value) * bins > edge))

@@ -41,9 +41,9 @@ def scored(customers: DataFrame) -> DataFrame:
     if dict(customers.dtypes)["customer_id"] == "string":
         customers = customers.withColumn("_tie", F.xxhash64("customer_id"))
         tie = "_tie"
-    binned = quantile_bins(customers, "recency", SCORES, "r_bin")
-    binned = quantile_bins(binned, "monetary_cents", SCORES, "m_score")
-    binned = rank_bins(binned, "frequency", tie, SCORES, "f_score")
+    binned = rank_bins(customers, "frequency", tie, SCORES, "f_score")
+    binned = quantile_bins(binned, "recency", SCORES, "r_bin", source=customers)
+    binned = quantile_bins(binned, "monetary_cents", SCORES, "m_score", source=customers)
     with_r = binned.withColumn("r_score", (SCORES + 1 - F.col("r_bin")).cast("int"))
     return with_r.withColumns(
         {

@@ -5,13 +5,14 @@ from __future__ import annotations
 from salesprism.plans.charts import CHARTS
 from salesprism.plans.cleaning import CLEANING
 from salesprism.plans.measures import MEASURE_QUERIES
+from salesprism.plans.models import MODELS
 from salesprism.plans.named import NAMED
 from salesprism.plans.registry import NamedQuery
 from salesprism.plans.warehouse import WAREHOUSE
 
 
 def all_queries() -> dict[str, NamedQuery]:
-    listed = [*NAMED, *CLEANING, *WAREHOUSE, *MEASURE_QUERIES, *CHARTS]
+    listed = [*NAMED, *CLEANING, *WAREHOUSE, *MEASURE_QUERIES, *CHARTS, *MODELS]
     found = {q.key: q for q in listed}
     if len(found) != len(listed):
         raise ValueError("two registered queries share a key")
