@@ -16,14 +16,15 @@ def standard_name(name: str) -> str:
 def title_case(col: Column) -> Column:
     """Capitalise every run of letters (``3XL`` -> ``3Xl``, ``o'neil`` -> ``O'Neil``).
 
-    ``initcap`` only looks at white space, so the text is cut into letter and
-    non-letter runs instead.
+    ``initcap`` only looks at white space. It serves text of plain letters and spaces;
+    any other text is cut into letter and non-letter runs.
     """
     runs = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(
+    cut = F.array_join(
         F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substr(run, F.lit(2)))),
         "",
     )
+    return F.when(col.rlike("[^A-Za-z ]"), cut).otherwise(F.initcap(col))
 
 
 def yes_no(col: Column) -> Column:
