@@ -18,6 +18,12 @@ def monday_week(day: Column) -> Column:
     return F.floor((F.dayofyear(day) - (F.weekday(day) + 1) + 10) / 7).cast("int")
 
 
+def sunday_week(day: Column) -> Column:
+    """Week of the year, weeks from Sunday, 1 January always in week 1."""
+    first_weekday = F.dayofweek(F.trunc(day, "year"))
+    return F.floor((F.dayofyear(day) + first_weekday - 2) / 7).cast("int") + 1
+
+
 def is_weekend(day: Column) -> Column:
     return F.weekday(day) >= 5
 

@@ -95,15 +95,25 @@ def _null_cells(df: DataFrame):
     return sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
 
 
-def raw_summary(raw: DataFrame) -> DataFrame:
-    """One row: size, repeated rows and empty cells of the raw table, in one shuffle."""
+def raw_summary(raw: DataFrame, distinct: DataFrame | None = None) -> DataFrame:
+    """One row: size, repeated rows and empty cells of the raw table.
+
+    With the distinct lines of a cleaning run at hand the raw rows are only scanned;
+    otherwise they are shuffled once to find the repeats.
+    """
+    nulls = _null_cells(raw).cast("bigint")
+    size = F.lit(len(raw.columns)).cast("bigint").alias("columns")
+    if distinct is not None:
+        kept = distinct.agg(F.count(F.lit(1))).scalar()
+        return raw.agg(
+            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(nulls), F.lit(0)).alias("total_nulls")
+        ).select("rows", size, (F.col("rows") - kept).alias("duplicates"), "total_nulls")
     copies = raw.groupBy(*[f"`{c}`" for c in raw.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    nulls = _null_cells(raw)
     return copies.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        F.lit(len(raw.columns)).cast("bigint").alias("columns"),
+        size,
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-        F.coalesce(F.sum(nulls.cast("bigint") * F.col("_n")), F.lit(0)).alias("total_nulls"),
+        F.coalesce(F.sum(nulls * F.col("_n")), F.lit(0)).alias("total_nulls"),
     )
 
 
@@ -195,7 +205,7 @@ def quality_report(run: CleaningRun) -> DataFrame:
         ).alias("cleaning_actions")
     )
     return log.select(
-        raw_summary(run.raw).select(F.struct("*")).scalar().alias("raw_dataset"),
+        raw_summary(run.raw, run.distinct).select(F.struct("*")).scalar().alias("raw_dataset"),
         cleaned_summary(run.cleaned).select(F.struct("*")).scalar().alias("cleaned_dataset"),
         "cleaning_actions",
     )

@@ -14,7 +14,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from salesprism.functions.dates import date_key, is_weekend, monday_week
+from salesprism.functions.dates import date_key, is_weekend, monday_week, sunday_week
 from salesprism.functions.exact import mean2, mean_cents, money_sum, units
 from salesprism.operators.aggregates import aov, revenue, share_of_total
 from salesprism.sources.sinks import write_counted
@@ -45,13 +45,30 @@ def surrogate_key(*parts: str) -> Column:
 
 def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day with its date attributes."""
+    return calendar_columns(_days(spark, start, end))
+
+
+def report_calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
+    """The shorter date table of the report model; its weeks start on Sunday."""
+    day = F.col("full_date")
+    return _days(spark, start, end).select(
+        "full_date",
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.date_format(day, "MMM").alias("month_name"),
+        F.quarter(day).alias("quarter"),
+        sunday_week(day).alias("week_number"),
+        F.date_format(day, "EEEE").alias("day_name"),
+    )
+
+
+def _days(spark: SparkSession, start: date, end: date) -> DataFrame:
     days = (end - start).days + 1
     if not 0 < days <= MAX_CALENDAR_DAYS:
         raise ValueError(f"a calendar of {days} days is out of bounds")
-    spine = spark.range(1).select(
+    return spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("full_date")
     )
-    return calendar_columns(spine)
 
 
 def calendar_columns(spine: DataFrame) -> DataFrame:

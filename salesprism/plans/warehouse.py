@@ -45,6 +45,16 @@ def _calendar(spark: SparkSession, folder: str) -> DataFrame:
     return _dates(spark).join(lines, "date_key", "left").fillna({"lines": 0})
 
 
+def _report_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue per week of the report calendar, joined one to many."""
+    dates = w.report_calendar(spark, START, END)
+    lines = sales(spark, folder, "order_id", "order_date", "qty", "amount_cents")
+    joined = lines.join(F.broadcast(dates), F.col("order_date") == F.col("full_date"))
+    return totals(joined, "year", "week_number").select(
+        "year", "week_number", "orders", units("cents").alias("revenue")
+    )
+
+
 def _orders_flat(spark: SparkSession, folder: str) -> DataFrame:
     staged = _staging_table(spark, folder)
     return w.orders_flat(
@@ -156,6 +166,13 @@ WAREHOUSE = [
         f"{_SALES}, n as (select order_date, count(*) as c from sales group by order_date) "
         f"select {_DATE_COLUMNS}, coalesce(c, 0) as lines from {_DAYS} left join n on order_date = d",
     ),
+    NamedQuery(
+        "report_calendar_weeks", "Revenue per Sunday week", _report_calendar, None,
+        f"{_SALES} select year(order_date) as year, "
+        "cast(floor((dayofyear(order_date) + dayofweek(date_trunc('year', order_date)) - 1) / 7) as bigint) + 1 "
+        "as week_number, count(distinct order_id) as orders, "
+        f"{sql_units('sum(amount_cents)')} as revenue from sales group by 1, 2",
+    ),
     NamedQuery(
         "dim_product", "Product dimension", lambda s, f: w.dim_product(_staged(s, f)), None,
         f"{_SALES} {_dim_sql(w.PRODUCT, 'product_key')}",
