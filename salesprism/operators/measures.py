@@ -202,11 +202,10 @@ def measure(
 
 
 def top_n(
-    df: DataFrame, name: str, by: Sequence[str], n: int, context: FilterContext = EVERYTHING,
-    also: Sequence[str] = (),
+    df: DataFrame, name: str, by: Sequence[str], n: int, context: FilterContext = EVERYTHING
 ) -> DataFrame:
     """The n groups with the highest measure."""
-    return measure(df, [name, *also], by, context).orderBy(F.desc(name), *by).limit(n)
+    return measure(df, [name], by, context).orderBy(F.desc(name), *by).limit(n)
 
 
 def top_category(df: DataFrame, context: FilterContext = EVERYTHING) -> DataFrame:

@@ -169,6 +169,7 @@ def cleaning_counts(run: CleaningRun) -> DataFrame:
 def cleaning_log(run: CleaningRun) -> DataFrame:
     """The numbered cleaning actions as text, with their counts."""
     c = F.col
+    # fixed values: the wording of the actions
     actions = [
         F.format_string("Removed %d duplicate rows", c("duplicates_removed")),
         F.lit("Standardised all column names (lowercase, underscores)"),

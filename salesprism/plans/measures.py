@@ -209,15 +209,14 @@ MEASURE_QUERIES = [
         "group by ship_city order by total_orders desc, ship_city limit 15",
     ),
     NamedQuery(
-        "sku_table", "SKU table by revenue",
-        lambda lines: m.top_n(
-            lines, "total_revenue", ["sku", "style", "category"], 100, also=["total_quantity_sold"]
+        "sku_table", "Revenue and quantity of every SKU",
+        lambda lines: m.measure(
+            lines, ["total_revenue", "total_quantity_sold"], ["sku", "style", "category"]
         ),
         ("order_id", "status", "qty", "amount_cents", "sku", "style", "category"),
         f"{_LINES} select sku, style, category, "
         f"{sql_units(f'coalesce(sum(amount_cents) filter (where {_LIVE}), 0)')} as total_revenue, "
-        "cast(sum(qty) as bigint) as total_quantity_sold from sales group by sku, style, category "
-        "order by total_revenue desc, sku, style, category limit 100",
+        "cast(sum(qty) as bigint) as total_quantity_sold from sales group by sku, style, category",
     ),
     NamedQuery(
         "service_level_aov", "Average order value by service level",

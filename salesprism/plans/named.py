@@ -53,6 +53,7 @@ _CITY = "ship_city != 'Unknown'"
 _STATE = "ship_state != 'Unknown'"
 _C = NamedQuery
 
+# fixed values: the titles and the result column names
 NAMED = [
     _C(
         "q01_overall_kpis", "Overall Business KPIs", r.overall_kpis,

@@ -525,6 +525,7 @@ def _headline(sales: DataFrame) -> DataFrame:
 
 def executive_summary(sales: DataFrame) -> DataFrame:
     lines = F.col("lines")
+    # fixed values: the metric names
     metrics = {
         "Total Revenue (INR)": revenue(),
         "Total Orders": F.col("orders"),
