@@ -6,9 +6,10 @@ lines that pass the slicers and the component's own condition. A component may
 column (cancelled orders by status show the same number in every row). Without an
 override it narrows them further (delivered orders).
 
-All components of a call share one pass: lines fold to one row per group and order,
-then to one row per group, so several distinct counts cost one shuffle and no row is
-copied per count.
+Components share one pass: lines fold to one row per group and order, then to one row
+per group, so several distinct counts cost one shuffle and no row is copied per count.
+Sums that override a grouping column add up from those groups; only a distinct count
+that overrides one needs a pass of its own.
 """
 
 from __future__ import annotations
@@ -174,9 +175,15 @@ def measure(
     wanted = list(dict.fromkeys(c for n in names for c in MEASURES[n][0]))
     direct = [c for c in wanted if not COMPONENTS[c].overrides & set(by)]
     detached = [c for c in wanted if c not in direct]
+    # sums over a replaced grouping add up from the groups of the same pass
+    summed = [c for c in detached if COMPONENTS[c].kind != "orders"]
+    detached = [c for c in detached if c not in summed]
     if not direct:
         direct = ["orders"]
-    rows = _components(df, direct, by, context)
+    rows = _components(df, direct + summed, by, context)
+    for name in summed:
+        kept = [k for k in by if k not in COMPONENTS[name].overrides]
+        rows = rows.withColumn(name, F.sum(name).over(Window.partitionBy(*kept)))
     if by:
         counted = F.lit(False)
         for name in direct:

@@ -23,8 +23,9 @@ from salesprism.functions.exact import (
 from salesprism.functions.text import grouped_number, rupees
 from salesprism.operators.aggregates import aov, revenue, share_of_total, totals
 from salesprism.operators.quantiles import tile_summary
+from salesprism.session import materialised
 
-KNOWN = "Unknown"  # fixed value: the text that stands for a missing place or courier
+UNKNOWN = "Unknown"  # fixed value: the text that stands for a missing place or courier
 
 
 def _status_count(status: str):
@@ -285,7 +286,7 @@ def top_states(sales: DataFrame, k: int = 15) -> DataFrame:
     return (
         totals(sales, "ship_state")
         .withColumn("revenue_pct", share_of_total("cents"))
-        .filter(F.col("ship_state") != KNOWN)
+        .filter(F.col("ship_state") != UNKNOWN)
         .orderBy(F.desc("cents"), "ship_state")
         .limit(k)
         .select(
@@ -302,7 +303,7 @@ def top_states(sales: DataFrame, k: int = 15) -> DataFrame:
 def state_kpis(sales: DataFrame) -> DataFrame:
     """Known states with their share of the revenue of known states."""
     return (
-        totals(sales.filter(F.col("ship_state") != KNOWN), "ship_state")
+        totals(sales.filter(F.col("ship_state") != UNKNOWN), "ship_state")
         .select(
             "ship_state",
             F.col("orders").alias("total_orders"),
@@ -321,7 +322,7 @@ def top_state_kpis(sales: DataFrame, k: int = 10) -> DataFrame:
 
 def top_cities(sales: DataFrame, k: int = 15) -> DataFrame:
     return (
-        totals(sales.filter(F.col("ship_city") != KNOWN), "ship_city", "ship_state")
+        totals(sales.filter(F.col("ship_city") != UNKNOWN), "ship_city", "ship_state")
         .orderBy(F.desc("orders"), "ship_city", "ship_state")
         .limit(k)
         .select(
@@ -337,7 +338,7 @@ def top_cities(sales: DataFrame, k: int = 15) -> DataFrame:
 
 def state_cancellation(sales: DataFrame, k: int = 15) -> DataFrame:
     return (
-        sales.filter(F.col("ship_state") != KNOWN)
+        sales.filter(F.col("ship_state") != UNKNOWN)
         .groupBy("ship_state")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
@@ -438,16 +439,16 @@ def value_tiers(sales: DataFrame, tiers: int = 4) -> DataFrame:
 
 
 def top_state_category_matrix(sales: DataFrame, k: int = 5) -> DataFrame:
-    """Categories inside the k best known states; state totals come from the same cells."""
-    cells = totals(sales.filter(F.col("ship_state") != KNOWN), "ship_state", "category")
-    best = (
-        cells.groupBy("ship_state")
-        .agg(F.sum("cents").alias("state_cents"))
-        .orderBy(F.desc("state_cents"), "ship_state")
-        .limit(k)
-    )
+    """Categories inside the k best known states. The states are ranked over the
+    state-by-category cells themselves, so the lines are read once."""
+    cells = totals(sales.filter(F.col("ship_state") != UNKNOWN), "ship_state", "category")
+    by_state = Window.partitionBy("ship_state")
+    # as many rows as there are state and category pairs
+    best_first = Window.orderBy(F.desc("state_cents"), "ship_state")
     return (
-        cells.join(best, "ship_state", "left_semi")
+        cells.withColumn("state_cents", F.sum("cents").over(by_state))
+        .withColumn("state_rank", F.dense_rank().over(best_first))
+        .filter(F.col("state_rank") <= k)
         .select("ship_state", "category", revenue().alias("revenue"), "orders")
         .orderBy("ship_state", F.desc("revenue"), "category")
     )
@@ -492,7 +493,7 @@ def return_rates(sales: DataFrame) -> DataFrame:
 
 def courier_revenue(sales: DataFrame) -> DataFrame:
     return (
-        totals(sales.filter(F.col("courier_status") != KNOWN), "courier_status")
+        totals(sales.filter(F.col("courier_status") != UNKNOWN), "courier_status")
         .select(
             F.col("courier_status").alias("courier"),
             F.col("orders").alias("total_orders"),
@@ -506,8 +507,8 @@ def courier_revenue(sales: DataFrame) -> DataFrame:
 
 def _headline(sales: DataFrame) -> DataFrame:
     """All numbers of the executive summary in one pass over the lines."""
-    known_state = F.when(F.col("ship_state") != KNOWN, F.col("ship_state"))
-    known_city = F.when(F.col("ship_city") != KNOWN, F.col("ship_city"))
+    known_state = F.when(F.col("ship_state") != UNKNOWN, F.col("ship_state"))
+    known_city = F.when(F.col("ship_city") != UNKNOWN, F.col("ship_city"))
     return sales.agg(
         F.count(F.lit(1)).alias("lines"),
         money_sum("amount_cents").alias("cents"),
@@ -581,16 +582,19 @@ def executive_report(sales: DataFrame) -> DataFrame:
 
 
 def _category_state_cells(sales: DataFrame) -> DataFrame:
-    """Additive numbers per category and state, small enough to rank in several ways."""
-    return sales.groupBy("category", "ship_state").agg(
-        F.count(F.lit(1)).alias("lines"),
-        money_sum("amount_cents").alias("cents"),
-        _status_count("Returned").alias("returned"),
+    """Additive numbers per category and state. Written once: the table is small, and
+    ranking it in several ways must not read the lines several times."""
+    return materialised(
+        sales.groupBy("category", "ship_state").agg(
+            F.count(F.lit(1)).alias("lines"),
+            money_sum("amount_cents").cast("decimal(38,0)").alias("cents"),
+            _status_count("Returned").alias("returned"),
+        )
     )
 
 
 def _known_states(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("ship_state") != KNOWN)
+    return cells.filter(F.col("ship_state") != UNKNOWN)
 
 
 def _best(cells: DataFrame, key: str) -> DataFrame:
@@ -605,7 +609,7 @@ def _best(cells: DataFrame, key: str) -> DataFrame:
 
 def revenue_per_order_by_state(sales: DataFrame, k: int = 15) -> DataFrame:
     return (
-        totals(sales.filter(F.col("ship_state") != KNOWN), "ship_state")
+        totals(sales.filter(F.col("ship_state") != UNKNOWN), "ship_state")
         .select(
             "ship_state",
             F.col("orders").alias("total_orders"),
