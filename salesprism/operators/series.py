@@ -41,19 +41,25 @@ def daily(lines: DataFrame, series: str | None = None) -> DataFrame:
 
 
 def densified(days: DataFrame) -> DataFrame:
-    """Every day between a series' first and last one, 0 where nothing was sold."""
-    spine = (
-        days.groupBy("series")
-        .agg(F.sequence(F.min("date"), F.max("date"), F.expr("interval 1 day")).alias("d"))
-        .select(F.col("series").alias("_series"), F.explode("d").alias("_date"))
+    """Every day between a series' first and last one, 0 where nothing was sold.
+
+    Each day stretches to the eve of the next one, so no second pass finds the ends.
+    """
+    following = F.lead("date").over(Window.partitionBy("series").orderBy("date"))
+    stretch = F.sequence(
+        F.col("date"), F.coalesce(F.date_sub("_next", 1), F.col("date")), F.expr("interval 1 day")
     )
-    same = F.col("series").eqNullSafe(F.col("_series")) & (F.col("date") == F.col("_date"))
-    return spine.join(days, same, "left").select(
-        F.col("_series").alias("series"),
-        F.col("_date").alias("date"),
-        F.coalesce("orders", F.lit(0)).alias("orders"),
-        F.coalesce("cents", F.lit(0).cast("decimal(38,0)")).alias("cents"),
-        F.coalesce("qty", F.lit(0)).alias("qty"),
+    spread = days.withColumn("_next", following).withColumn("_day", F.explode(stretch))
+
+    def sold(column: str, zero: Column) -> Column:
+        return F.when(F.col("_day") == F.col("date"), F.col(column)).otherwise(zero).alias(column)
+
+    return spread.select(
+        "series",
+        F.col("_day").alias("date"),
+        sold("orders", F.lit(0)),
+        sold("cents", F.lit(0).cast("decimal(38,0)")),
+        sold("qty", F.lit(0)),
     )
 
 
