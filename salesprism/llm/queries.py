@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import mixing
+from salesprism.llm import mixing, packing, token_codes
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op7_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, folder))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
+    )
+
+
+def op8_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_codes.read_back(token_codes.written(documents(spark, folder)))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mix_documents(documents(spark, folder))
     return found.select(
@@ -21,7 +33,11 @@ def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_pareto_mixture": op10_pareto_mixture}
+    return {
+        "op7_mixture_packing": op7_mixture_packing,
+        "op8_addressable_codes": op8_addressable_codes,
+        "op10_pareto_mixture": op10_pareto_mixture,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
