@@ -150,7 +150,7 @@ def mixed(docs: DataFrame, seed: int = 7, share: float = 1.5) -> DataFrame:
     first = materialised(_cut(some, wanted, "at1"))  # at most a row for each source, as the next
     inside = some.join(first.select("sid", "at1_cut"), "sid").where("at1 = at1_cut").drop("at1_cut")
     second = materialised(_cut(inside, first.select("sid", "wanted"), "at2"))
-    cuts = first.drop("wanted").join(second, "sid", "left")
+    cuts = materialised(first.drop("wanted").join(second, "sid", "left"))  # small, and known to be so
     placed = ranked.join(cuts, "sid", "left")
     near = F.coalesce((F.col("at1") == F.col("at1_cut")) & (F.col("at2") == F.col("at2_cut")), F.lit(False))
     before = Window.partitionBy("sid").orderBy("rank", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
