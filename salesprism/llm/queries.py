@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import mixing, packing, token_codes
+from salesprism.llm import fertility, mixing, packing, token_codes
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    found = fertility.judged(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        *fertility.MEASURES, F.array_join("outside", ",").alias("outside"),
+    )
+
+
 def op7_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.packed(documents(spark, folder))
     return pieces.select(
@@ -34,6 +42,7 @@ def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_tokeniser_fertility": op1_tokeniser_fertility,
         "op7_mixture_packing": op7_mixture_packing,
         "op8_addressable_codes": op8_addressable_codes,
         "op10_pareto_mixture": op10_pareto_mixture,
