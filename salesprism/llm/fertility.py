@@ -17,14 +17,14 @@ from salesprism.llm.tokens import WordCache, slices, tokenizer, tokenizer_path
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 SYMBOLS = "#*$%&|<>"
 CHUNK = 256  # pieces over which entropy is measured, so that it doesn't depend on length
-WIDTH = 8.0  # half width of a band, in robust standard deviations
 LEAST_DOCS = 200  # languages with fewer documents take the bands of all
-#: measure: bins in a unit, least robust standard deviation, rejects below, rejects above
+#: measure: bins in a unit, half width of the band in robust standard deviations, the least
+#: such deviation, rejects below, rejects above
 MEASURES = {
-    "chars_per_piece": (200, 0.05, True, True),
-    "chars_per_token": (200, 0.05, True, True),
-    "fallback_share": (1000, 0.01, False, True),
-    "piece_entropy": (500, 0.01, True, False),
+    "chars_per_piece": (200, 8.0, 0.05, True, True),
+    "chars_per_token": (200, 8.0, 0.05, True, True),
+    "fallback_share": (1000, 8.0, 0.01, False, True),
+    "piece_entropy": (500, 4.0, 0.016, True, False),
 }
 
 _VALUES: list = []
@@ -150,7 +150,7 @@ def _share(part: str, whole: str) -> Column:
 
 def bands(rows: DataFrame) -> DataFrame:
     """For each language, and for all together as null: limits low_* and high_* of each
-    measure, around the median by ``WIDTH`` times the quartiles' distance, as a standard
+    measure, around the median by so many times the quartiles' distance, as a standard
     deviation. Quantiles come from counts of bins, so rows of a language are never gathered."""
     cells = F.explode(
         F.array(*[
@@ -175,8 +175,8 @@ def bands(rows: DataFrame) -> DataFrame:
         F.max("docs").alias("docs"), quantile(0.25).alias("q1"), quantile(0.5).alias("q2"), quantile(0.75).alias("q3")
     )
     columns = []
-    for measure, (bins, least, below, above) in MEASURES.items():
-        reach = F.greatest((F.col("q3") - F.col("q1")) / F.lit(1.349 * bins), F.lit(least)) * WIDTH
+    for measure, (bins, width, least, below, above) in MEASURES.items():
+        reach = F.greatest((F.col("q3") - F.col("q1")) / F.lit(1.349 * bins), F.lit(least)) * width
         here = F.col("measure") == measure
         low = F.col("q2") / bins - reach if below else F.lit(float("-inf"))
         high = F.col("q2") / bins + reach if above else F.lit(float("inf"))

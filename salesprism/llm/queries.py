@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import fertility, mixing, packing, token_codes
+from salesprism.llm import fertility, jaccard, mixing, packing, token_codes
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.joined(documents(spark, folder))
+
+
 def op7_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.packed(documents(spark, folder))
     return pieces.select(
@@ -43,6 +47,7 @@ def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tokeniser_fertility": op1_tokeniser_fertility,
+        "op6_adaptive_prefixes": op6_adaptive_prefixes,
         "op7_mixture_packing": op7_mixture_packing,
         "op8_addressable_codes": op8_addressable_codes,
         "op10_pareto_mixture": op10_pareto_mixture,
