@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import fertility, jaccard, mixing, packing, token_codes
+from salesprism.llm import context_tree, fertility, jaccard, language, mixing, packing, token_codes
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +21,17 @@ def op1_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    found = context_tree.scored(documents(spark, folder))
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
+def op5_byte_network(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predicted(documents(spark, folder))
+
+
 def op6_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.joined(documents(spark, folder))
 
@@ -47,6 +58,8 @@ def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tokeniser_fertility": op1_tokeniser_fertility,
+        "op2_context_tree": op2_context_tree,
+        "op5_byte_network": op5_byte_network,
         "op6_adaptive_prefixes": op6_adaptive_prefixes,
         "op7_mixture_packing": op7_mixture_packing,
         "op8_addressable_codes": op8_addressable_codes,

@@ -26,10 +26,14 @@ def tokenizer_path(name: str) -> str:
 
 
 class WordCache:
-    """Values of words, computed in batches; holds at most twice ``KEPT`` words."""
+    """Values of words, computed in batches; holds at most twice ``KEPT`` words.
 
-    def __init__(self, compute: Callable[[list], list]) -> None:
+    ``parts(word)`` may name a stem and what to add to the stem's value for the word's.
+    """
+
+    def __init__(self, compute: Callable[[list], list], parts: Callable | None = None) -> None:
         self.compute = compute
+        self.parts = parts
         self.young: dict = {}
         self.old: dict = {}
 
@@ -42,8 +46,18 @@ class WordCache:
         if not missing:
             return self.young
         found = {w: self.old[w] for w in missing.intersection(self.old)}
-        new = list(missing.difference(found))
+        new = missing.difference(found)
+        if self.parts:
+            known = {w: p for w in new if (p := self.parts(w))}
+            stems = {stem for stem, _ in known.values()}
+            new = new.difference(known).union(stems)
+            for cached in (found, self.young, self.old):
+                found.update((w, cached[w]) for w in new.intersection(cached))
+            new = new.difference(found)
+        new = list(new)
         found.update(zip(new, self.compute(new)))
+        if self.parts:
+            found.update((w, found[stem] + tail) for w, (stem, tail) in known.items())
         if len(self.young) + len(found) > KEPT:
             needed = {w: self.young[w] for w in wanted.difference(missing)}
             self.old = self.young
@@ -66,22 +80,117 @@ def tokenizer(name: str):
 
 
 _CACHES: dict[tuple[str, str], WordCache] = {}
+_TOGETHER = 200  # new words encoded as one text, which spares most of a call's cost
+_MARK = "\x01"
+
+
+def _alone(made, texts: list[str]) -> list[bytes]:
+    from array import array
+
+    return [array("I", e.ids).tobytes() for e in made.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _cut(made, texts: list[str], ends_of) -> list[bytes]:
+    """Ids of joined words, cut at the ends that ``ends_of(number of the text, ids)`` gives."""
+    import numpy as np
+
+    out = []
+    for k, encoded in enumerate(made.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = np.array(encoded.ids, dtype="<u4")
+        data = ids.tobytes()
+        out += [data[4 * a : 4 * b] for a, b in ends_of(k, ids)]
+    return out
+
+
+def _spaced(made) -> Callable[[list[str]], list[bytes]]:
+    """Ids of words after a blank, for byte-level BPE: a token's length in bytes is that of
+    its name, so running lengths tell where a word of a joined text ends."""
+    import numpy as np
+
+    names = made.get_vocab()
+    length = np.zeros(max(names.values()) + 1, dtype=np.int64)
+    for name, i in names.items():
+        length[i] = len(name)
+
+    def packed(words: list[str]) -> list[bytes]:
+        # a word that ends in white space would take the next word's blank with it
+        joinable = [w for w in words if w and w[-1] not in WHITE_SPACE]
+        others = [w for w in words if not w or w[-1] in WHITE_SPACE]
+        groups = [joinable[i : i + _TOGETHER] for i in range(0, len(joinable), _TOGETHER)]
+
+        def ends_of(k: int, ids) -> list[tuple[int, int]]:
+            sizes = np.cumsum([len(w.encode()) + 1 for w in groups[k]])
+            ends = np.searchsorted(np.cumsum(length[ids]), sizes) + 1
+            return list(zip([0, *ends[:-1].tolist()], ends.tolist()))
 
+        texts = [" " + " ".join(g) for g in groups]
+        found = dict(zip(joinable, _cut(made, texts, ends_of)))
+        found.update(zip(others, _alone(made, [" " + w for w in others])))
+        return [found[w] for w in words]
 
-def _cache(name: str, front: str) -> WordCache:
-    """Packed ids of words that follow the characters ``front``."""
-    if (name, front) not in _CACHES:
-        from array import array
+    return packed
 
+
+def _parted(made) -> Callable[[list[bytes]], list[bytes]]:
+    """Ids of words for tokenizers that drop white space: a control character between the
+    words of a joined text is a token of its own, which no other text gives."""
+    import numpy as np
+
+    mark, = made.encode(_MARK, add_special_tokens=False).ids
+
+    def packed(words: list[bytes]) -> list[bytes]:
+        texts = {w: w.decode() for w in words}
+        joinable = [w for w in words if _MARK not in texts[w]]
+        others = [w for w in words if _MARK in texts[w]]
+        groups = [joinable[i : i + _TOGETHER] for i in range(0, len(joinable), _TOGETHER)]
+
+        def ends_of(k: int, ids) -> list[tuple[int, int]]:
+            marks = np.flatnonzero(ids == mark).tolist()
+            return list(zip([0, *(m + 1 for m in marks)], [*marks, len(ids)]))
+
+        joined = [f" {_MARK} ".join(texts[w] for w in g) for g in groups]
+        found = dict(zip(joinable, _cut(made, joined, ends_of)))
+        found.update(zip(others, _alone(made, [texts[w] for w in others])))
+        return [found[w] for w in words]
+
+    return packed
+
+
+_ENDINGS = ".,;:!?"
+_LATIN = "\u0250"  # letters below have one code point each, in either case
+
+
+def _letters(word: str) -> bool:
+    return word.isalpha() and max(word) < _LATIN
+
+
+def _cache(name: str, kind: str) -> WordCache:
+    """Packed ids of first words, of words after a blank ("spaced"), or of words for which
+    white space doesn't matter ("parted"). Letters and the sign after them are tokens apart,
+    so a word with a sign has the ids of the word without and of the sign."""
+    if (name, kind) not in _CACHES:
         made = tokenizer(name)
+        signs = {e: ids for e, ids in zip(_ENDINGS, _alone(made, list(_ENDINGS)))}
+
+        def spaced(word: str) -> tuple[str, bytes] | None:
+            if word and word[-1] in signs and _letters(word[:-1]):
+                return word[:-1], signs[word[-1]]
+            return None
 
-        def packed(words: list) -> list[bytes]:
-            texts = [front + (w.decode() if isinstance(w, bytes) else w) for w in words]
-            encoded = made.encode_batch_fast(texts, add_special_tokens=False)
-            return [array("I", e.ids).tobytes() for e in encoded]
+        def parted(word: bytes) -> tuple[bytes, bytes] | None:
+            text = word.decode()
+            tail = signs.get(text[-1], b"")
+            stem = text[:-1] if tail else text
+            if stem and _letters(stem) and (tail or stem != stem.lower()):
+                return stem.lower().encode(), tail
+            return None
 
-        _CACHES[name, front] = WordCache(packed)
-    return _CACHES[name, front]
+        _CACHES[name, kind] = {
+            "first": lambda: WordCache(lambda words: _alone(made, words)),
+            "spaced": lambda: WordCache(_spaced(made), spaced),
+            "parted": lambda: WordCache(_parted(made), parted),
+        }[kind]()
+    return _CACHES[name, kind]
 
 
 def byte_level_ids(name: str, texts: list[str]) -> list[bytes]:
@@ -98,16 +207,16 @@ def byte_level_ids(name: str, texts: list[str]) -> list[bytes]:
         first, *rest = text.split(" ") if good else [text]
         firsts.append([first])
         words.append(rest)
-    first_ids = _cache(name, "").ready(firsts)
+    first_ids = _cache(name, "first").ready(firsts)
     heads = [first_ids[first] for first, in firsts]
-    ids = _cache(name, " ").ready(words)
+    ids = _cache(name, "spaced").ready(words)
     return [head + b"".join([ids[w] for w in rest]) for head, rest in zip(heads, words)]
 
 
 def word_level_ids(name: str, texts: list[str]) -> list[bytes]:
     """The same for tokenizers that drop white space and never join words over it."""
     words = [t.encode().split() for t in texts]
-    ids = _cache(name, "").ready(words)
+    ids = _cache(name, "parted").ready(words)
     return [b"".join([ids[w] for w in text]) for text in words]
 
 
