@@ -17,7 +17,8 @@ from salesprism.llm.tokens import slices
 SHARE = 80  # per cent of the union that linked documents have in common
 GROUP = 6_000_000  # shingles that one task counts or looks up, about
 MOST_MATCHES = 8  # the longest prefix asks for so many shared shingles
-CHECK_COST = 20.0  # of verifying a candidate, in postings read
+ROUNDS = 2  # in which sets look for a hub; the join does the rest
+CHECK_COST = 3.0  # of verifying a candidate, in postings that meet
 SLICE = 1_500_000  # characters hashed at once
 
 
@@ -143,12 +144,13 @@ def matches_wanted(codes: np.ndarray, shortest: int) -> int:
     return int(wanted[np.argmin(postings * (1 + CHECK_COST / wanted))])
 
 
-_PREFIXES = "class bigint, n bigint, wanted int, prefix array<bigint>, n_index int, shingles binary"
+_PREFIXES = "class bigint, n bigint, own double, wanted int, prefix array<bigint>, n_index int, shingles binary"
 
 
 def prefixes(docs: DataFrame, blocks: int, codes: DataFrame, share: int = SHARE) -> DataFrame:
     """One row for each set that can have links: it shares so many shingles with others at all.
 
+    ``own`` is the share of its shingles that no other set has.
     A set's shingles are ordered by frequency, then hash. ``wanted`` matches need the first
     n - least + wanted of them; ``prefix`` holds those that other sets have too, and its first
     ``n_index`` suffice towards sets that are not smaller.
@@ -193,8 +195,8 @@ def prefixes(docs: DataFrame, blocks: int, codes: DataFrame, share: int = SHARE)
             wanted = matches_wanted(codes[order], shortest)
             prefix = found[order][single : shortest + wanted - 1]
             index = max(0, n - least_common_as_smaller(n, share) + wanted - single)
-            out.append((name, n, wanted, prefix.view(np.int64).tolist(), index, found.astype("<u8").tobytes()))
-        return pd.DataFrame(out, columns=["class", "n", "wanted", "prefix", "n_index", "shingles"])
+            out.append((name, n, single / n, wanted, prefix.view(np.int64).tolist(), index, found.astype("<u8").tobytes()))
+        return pd.DataFrame(out, columns=["class", "n", "own", "wanted", "prefix", "n_index", "shingles"])
 
     texts = docs.select("text").mapInArrow(once, "block bigint, class bigint, text string")
     return texts.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(choose, _PREFIXES)
@@ -228,13 +230,30 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _with_hubs(postings: DataFrame) -> DataFrame:
+    """Each set (a) with its hub (b)."""
+    hubs = postings.groupBy(F.col("shingle").alias("_shingle")).agg(
+        F.min(F.struct("own", "class")).alias("hub"), F.count(F.lit(1)).alias("_sets")
+    ).where("_sets > 1")
+    shared = (
+        postings.join(hubs, F.col("shingle") == F.col("_shingle"))
+        .where("hub.class <> class")
+        .groupBy("class", F.col("hub.class").alias("hub"))
+        .agg(F.count(F.lit(1)).alias("shared"))
+    )
+    best = shared.groupBy("class").agg(F.max(F.struct("shared", (-F.col("hub")).alias("less"))).alias("best"))
+    return best.select(F.col("class").alias("a"), (-F.col("best.less")).alias("b"))
+
+
 def links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     """Pairs (a, b) of classes that connect all linked sets: verified links, enough of them
     that sets joined by any link are joined by these.
 
     Postings are the rows (shingle, set) of all prefixes. First each set is compared with its
-    hub: the least set of its shingles' lists with which it shares most prefix shingles.
-    Linked sets form the hub's cluster, which then takes part in the join as one, with its
+    hub: of the sets that are first in its shingles' lists, the one it shares most with. First is the
+    set that has the least share of shingles to itself, as what the others were copied from has.
+    Sets without one look again
+    among themselves. Linked sets form the hub's cluster, which then takes part in the join as one, with its
     members' prefixes, so that a group of near copies yields pairs in its number, not in the
     square of it. Clusters that share as many prefix shingles as the smaller of both wanted
     numbers are candidates: this holds for every pair of linked members. Their hubs are
@@ -242,21 +261,15 @@ def links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     inequality of the Jaccard distance settles it.
     """
     postings = stored(
-        sets.select("class", "n", "wanted", "n_index", F.posexplode("prefix").alias("at", "shingle"))
-        .select("class", "n", "wanted", "shingle", (F.col("at") < F.col("n_index")).alias("index"))
-    )
-    hubs = postings.groupBy(F.col("shingle").alias("_shingle")).agg(
-        F.min("class").alias("hub"), F.count(F.lit(1)).alias("_sets")
-    ).where("_sets > 1")
-    shared = (
-        postings.join(hubs, F.col("shingle") == F.col("_shingle"))
-        .where("hub <> class")
-        .groupBy("class", "hub")
-        .agg(F.count(F.lit(1)).alias("shared"))
+        sets.select("class", "own", "n_index", F.posexplode("prefix").alias("at", "shingle"))
+        .select("class", "own", "shingle", (F.col("at") < F.col("n_index")).alias("index"))
     )
-    best = shared.groupBy("class").agg(F.max(F.struct("shared", (-F.col("hub")).alias("less"))).alias("best"))
-    first = stored(verified(best.select(F.col("class").alias("a"), (-F.col("best.less")).alias("b")), sets, share))
-    kept = first.where("linked")
+    kept, left = None, postings
+    for _ in range(ROUNDS):
+        found = stored(verified(_with_hubs(left), sets, share)).where("linked")
+        kept = found if kept is None else kept.unionByName(found)
+        met = found.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        left = stored(left.join(met, "class", "left_anti"))
     clusters = sets.select("class", "n", "wanted").join(
         kept.select(F.col("a").alias("class"), F.col("b").alias("_hub"), "distance"), "class", "left"
     ).select("class", "n", "wanted", F.coalesce("_hub", "class").alias("cluster"), F.coalesce("distance", F.lit(0.0)).alias("radius"))
