@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import context_tree, fertility, jaccard, language, mixing, packing, projections, token_codes
+from salesprism.llm import context_tree, fertility, jaccard, language, mixing, packing, pii, projections, token_codes
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_boosted_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.found(documents(spark, folder))
+
+
 def op4_projection_passes(spark: SparkSession, folder: str) -> DataFrame:
     return projections.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tokeniser_fertility": op1_tokeniser_fertility,
         "op2_context_tree": op2_context_tree,
+        "op3_boosted_pii": op3_boosted_pii,
         "op4_projection_passes": op4_projection_passes,
         "op5_byte_network": op5_byte_network,
         "op6_adaptive_prefixes": op6_adaptive_prefixes,
