@@ -199,13 +199,24 @@ def judged(docs: DataFrame) -> DataFrame:
     )
     limits = stored(bands(rows.where("not base_failed")))  # a row for each language
     own = limits.where(F.col("lang").isNotNull() & (F.col("docs") >= LEAST_DOCS)).withColumnRenamed("lang", "_lang")
-    every = limits.where("lang is null").select([F.col(c).alias(f"all_{c}") for c in limits.columns])
-    met = rows.join(own, F.col("lang") == F.col("_lang"), "left").join(F.broadcast(every), F.lit(True), "left")
+    every = limits.where("lang is null").first()
+    met = rows.join(own, F.col("lang") == F.col("_lang"), "left")
     outside = []
     for measure in MEASURES:
-        low = F.coalesce(f"low_{measure}", f"all_low_{measure}")
-        high = F.coalesce(f"high_{measure}", f"all_high_{measure}")
+        low, high = (
+            F.coalesce(f"{side}_{measure}", F.lit(every[f"{side}_{measure}"] if every else None).cast("double"))
+            for side in ("low", "high")
+        )
         outside.append(F.when((F.col(measure) < low) | (F.col(measure) > high), F.lit(measure)))
     return met.withColumn("outside", F.array_compact(F.array(*outside))).select(
         *rows.columns, "outside", (~F.col("base_failed") & (F.size("outside") == 0)).alias("kept")
     )
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents that ``judged`` keeps, with all their columns. A verdict depends on text
+    and language alone, so rows meet their verdict by the hash of both."""
+    key = F.xxhash64("text", "lang", F.col("lang").isNull())
+    verdicts = judged(docs.select(key.alias("doc_id"), "lang", "text"))
+    good = verdicts.where("kept").select(F.col("doc_id").alias("_good")).distinct()
+    return docs.join(good, key == F.col("_good"), "left_semi")

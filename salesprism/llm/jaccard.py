@@ -371,3 +371,13 @@ def joined(docs: DataFrame, share: int = SHARE) -> DataFrame:
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def first_of_each(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """One document of each component of ``joined``, the one with its least doc_id, with all
+    columns of docs; equal rows count as one. Documents without words all stay."""
+    found = stored(joined(docs, share).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    first = found.distinct().select(F.col("doc_id").alias("_first"))
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    # only where an id stands twice can rows be equal
+    return kept if found.count() == first.count() else kept.dropDuplicates(["doc_id", "text"])

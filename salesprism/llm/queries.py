@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import context_tree, fertility, jaccard, language, mixing, packing, pii, projections, token_codes
+from salesprism.llm import context_tree, fertility, jaccard, language, licenses, mixing, packing, pii, projections, token_codes
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,6 +56,16 @@ def op8_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: a directory for each source, in it one for each language, in it one
+    for each 64 neighbouring ids."""
+    place = F.concat_ws(
+        "/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
+        F.floor(F.col("doc_id") / 64).cast("string"), F.col("doc_id").cast("string"),
+    )
+    return licenses.scanned(documents(spark, folder).select("doc_id", place.alias("path"), "text"))
+
+
 def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mix_documents(documents(spark, folder))
     return found.select(
@@ -73,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_adaptive_prefixes": op6_adaptive_prefixes,
         "op7_mixture_packing": op7_mixture_packing,
         "op8_addressable_codes": op8_addressable_codes,
+        "op9_license_scan": op9_license_scan,
         "op10_pareto_mixture": op10_pareto_mixture,
     }
 
