@@ -324,9 +324,10 @@ def redacted(docs: DataFrame) -> DataFrame:
             F.concat(F.lit("["), F.upper(r["kind"]), F.lit("]")),
         ),
     )
+    gaps = gaps.withColumnRenamed("row", "_place")
     rest = F.substr(F.col("text"), (F.col("_last") + 1).cast("int"), F.char_length("text"))
     clean = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    met = rows.join(gaps, F.col("_row") == F.col("row"), "left").withColumn("_clean", clean)
+    met = rows.join(gaps, F.col("_row") == F.col("_place"), "left").withColumn("_clean", clean)
     hit = met.select(*[F.col("_clean").alias(c) if c == "text" else F.col(c) for c in docs.columns])
     others = docs.where(~F.coalesce(F.col("text").rlike(r"[0-9@]|(?i)[(\[]at[)\]]"), F.lit(False)))
     return hit.unionByName(others)

@@ -44,30 +44,36 @@ def _powers() -> _Powers:
     return _powers.kept
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word (run of bytes other than ASCII white space) and where it begins.
+def word_spans(data: bytes, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word (run of bytes that are not ``blank``), where it begins and ends.
 
     A word's hash is a polynomial of its bytes modulo 2^64, as a difference of running sums.
     """
-    hashes, places, at = [], [], 0
+    hashes, begins, ends, at = [], [], [], 0
     while at < len(data):
         end = len(data)
         if end - at > PIECE:
-            cut = min((p for p in (data.find(c, at + PIECE) for c in (b" ", b"\n")) if p >= 0), default=-1)
+            cut = min((p for p in (data.find(c, at + PIECE) for c in (b" ", b"\n") if blank[c[0]]) if p >= 0), default=-1)
             end = cut + 1 if cut >= 0 else end
         letters = np.frombuffer(data, np.uint8, end - at, at)
-        inside = ~_BLANK[letters]
+        inside = ~blank[letters]
         edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
         begin, stop = edges[::2], edges[1::2]
         ahead, back = _powers().upto(len(letters) + 1)
         sums = np.zeros(len(letters) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[letters] * ahead[:-1], out=sums[1:])
         hashes.append(mixed((sums[stop] - sums[begin]) * back[begin]))
-        places.append(begin + at)
+        begins.append(begin + at)
+        ends.append(stop + at)
         at = end
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(places)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(begins), np.concatenate(ends)
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word between ASCII white space, and where it begins."""
+    return word_spans(data)[:2]
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:

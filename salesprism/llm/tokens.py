@@ -6,6 +6,8 @@ import os
 import re
 from collections.abc import Callable, Iterator
 
+from salesprism.llm.shingles import word_spans
+
 #: Fixed value: the code points with Unicode's White_Space property.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r \x85\xa0        "
@@ -14,7 +16,7 @@ WHITE_SPACE = (
 #: A blank after other white space: a cut there would part a run of white space.
 _BLANK_IN_RUN = re.compile(f"[{WHITE_SPACE}] ")
 
-KEPT = 300_000  # encoded words kept by a Python worker; for speed, never for results
+KEPT = 500_000  # encoded words kept by a Python worker; for speed, never for results
 LONGEST = 64  # longer words are not kept
 
 
@@ -26,14 +28,10 @@ def tokenizer_path(name: str) -> str:
 
 
 class WordCache:
-    """Values of words, computed in batches; holds at most twice ``KEPT`` words.
-
-    ``parts(word)`` may name a stem and what to add to the stem's value for the word's.
-    """
+    """Values of words, computed in batches; holds at most twice ``KEPT`` words."""
 
-    def __init__(self, compute: Callable[[list], list], parts: Callable | None = None) -> None:
+    def __init__(self, compute: Callable[[list], list]) -> None:
         self.compute = compute
-        self.parts = parts
         self.young: dict = {}
         self.old: dict = {}
 
@@ -46,18 +44,8 @@ class WordCache:
         if not missing:
             return self.young
         found = {w: self.old[w] for w in missing.intersection(self.old)}
-        new = missing.difference(found)
-        if self.parts:
-            known = {w: p for w in new if (p := self.parts(w))}
-            stems = {stem for stem, _ in known.values()}
-            new = new.difference(known).union(stems)
-            for cached in (found, self.young, self.old):
-                found.update((w, cached[w]) for w in new.intersection(cached))
-            new = new.difference(found)
-        new = list(new)
+        new = list(missing.difference(found))
         found.update(zip(new, self.compute(new)))
-        if self.parts:
-            found.update((w, found[stem] + tail) for w, (stem, tail) in known.items())
         if len(self.young) + len(found) > KEPT:
             needed = {w: self.young[w] for w in wanted.difference(missing)}
             self.old = self.young
@@ -156,43 +144,35 @@ def _parted(made) -> Callable[[list[bytes]], list[bytes]]:
     return packed
 
 
-_ENDINGS = ".,;:!?"
-_LATIN = "\u0250"  # letters below have one code point each, in either case
-
-
-def _letters(word: str) -> bool:
-    return word.isalpha() and max(word) < _LATIN
-
-
 def _cache(name: str, kind: str) -> WordCache:
     """Packed ids of first words, of words after a blank ("spaced"), or of words for which
-    white space doesn't matter ("parted"). Letters and the sign after them are tokens apart,
-    so a word with a sign has the ids of the word without and of the sign."""
+    white space doesn't matter ("parted")."""
     if (name, kind) not in _CACHES:
         made = tokenizer(name)
-        signs = {e: ids for e, ids in zip(_ENDINGS, _alone(made, list(_ENDINGS)))}
-
-        def spaced(word: str) -> tuple[str, bytes] | None:
-            if word and word[-1] in signs and _letters(word[:-1]):
-                return word[:-1], signs[word[-1]]
-            return None
-
-        def parted(word: bytes) -> tuple[bytes, bytes] | None:
-            text = word.decode()
-            tail = signs.get(text[-1], b"")
-            stem = text[:-1] if tail else text
-            if stem and _letters(stem) and (tail or stem != stem.lower()):
-                return stem.lower().encode(), tail
-            return None
-
-        _CACHES[name, kind] = {
-            "first": lambda: WordCache(lambda words: _alone(made, words)),
-            "spaced": lambda: WordCache(_spaced(made), spaced),
-            "parted": lambda: WordCache(_parted(made), parted),
-        }[kind]()
+        makers = {"first": lambda _: lambda words: _alone(made, words), "spaced": _spaced, "parted": _parted}
+        _CACHES[name, kind] = WordCache(makers[kind](made))
     return _CACHES[name, kind]
 
 
+def _gathered(cache: WordCache, words: Callable[[bytes], object], data: bytes, spans: tuple, texts: int, doc) -> list[bytes]:
+    """The joined ids of each text's words. Equal words, by hash and length, are looked up once;
+    ``words`` makes the cache's key of a word, ``doc`` has each word's text."""
+    import numpy as np
+
+    hashes, begins, ends = spans
+    _, first, inverse = np.unique(hashes ^ (ends - begins).astype(np.uint64), return_index=True, return_inverse=True)
+    keys = [words(data[a:b]) for a, b in zip(begins[first].tolist(), ends[first].tolist())]
+    known = cache.ready([keys])
+    values = [known[k] for k in keys]
+    sizes = np.array([len(v) // 4 for v in values], dtype=np.int64)
+    pool = np.frombuffer(b"".join(values), dtype="<u4")
+    counts = sizes[inverse]
+    shift = (np.cumsum(sizes) - sizes)[inverse] - (np.cumsum(counts) - counts)
+    ids = pool[np.arange(int(counts.sum())) + np.repeat(shift, counts)].tobytes()
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=counts, minlength=texts))]).astype(np.int64) * 4
+    return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
 def byte_level_ids(name: str, texts: list[str]) -> list[bytes]:
     """Ids of every text as little-endian unsigned 32-bit integers, for byte-level BPE
     whose tokens hold white space only at their front.
@@ -201,23 +181,39 @@ def byte_level_ids(name: str, texts: list[str]) -> list[bytes]:
     so what lies between two such blanks can be encoded alone. The few texts with a blank
     inside a run of white space are encoded whole.
     """
+    import numpy as np
+
+    first_words = _cache(name, "first")
     plain = [not _BLANK_IN_RUN.search(t) for t in texts]
-    firsts, words = [], []
-    for text, good in zip(texts, plain):
-        first, *rest = text.split(" ") if good else [text]
-        firsts.append([first])
-        words.append(rest)
-    first_ids = _cache(name, "first").ready(firsts)
-    heads = [first_ids[first] for first, in firsts]
-    ids = _cache(name, "spaced").ready(words)
-    return [head + b"".join([ids[w] for w in rest]) for head, rest in zip(heads, words)]
+    heads = [t.split(" ", 1)[0] if good else t for t, good in zip(texts, plain)]
+    whole = first_words.ready([[*heads, " "]])
+    encoded = [t.encode() if good else b"" for t, good in zip(texts, plain)]
+    data = b" ".join(encoded)
+    lengths = np.array([len(t) for t in encoded], dtype=np.int64)
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    only_blank = np.zeros(256, dtype=bool)
+    only_blank[32] = True
+    hashes, begins, ends = word_spans(data, only_blank)
+    doc = np.searchsorted(starts, begins, side="right") - 1
+    later = begins != starts[doc] if len(doc) else np.zeros(0, dtype=bool)
+    spans = hashes[later], begins[later], ends[later]
+    rest = _gathered(_cache(name, "spaced"), bytes.decode, data, spans, len(texts), doc[later])
+    return [
+        whole[head] + ids + (whole[" "] if good and text.endswith(" ") else b"")
+        for head, ids, text, good in zip(heads, rest, texts, plain)
+    ]
 
 
 def word_level_ids(name: str, texts: list[str]) -> list[bytes]:
     """The same for tokenizers that drop white space and never join words over it."""
-    words = [t.encode().split() for t in texts]
-    ids = _cache(name, "parted").ready(words)
-    return [b"".join([ids[w] for w in text]) for text in words]
+    import numpy as np
+
+    encoded = [t.encode() for t in texts]
+    data = b"\n".join(encoded)
+    spans = word_spans(data)
+    last = np.cumsum([len(t) + 1 for t in encoded])
+    doc = np.searchsorted(last, spans[1], side="right")
+    return _gathered(_cache(name, "parted"), bytes, data, spans, len(texts), doc)
 
 
 def slices(texts: list[str | None], size: int = 4_000_000) -> Iterator[tuple[int, int]]:
