@@ -20,8 +20,10 @@ def _column(col: Column | str) -> Column:
 
 
 def floor_div(numerator: Column, denominator: Column) -> Column:
-    """Integer division, null when the denominator is 0."""
-    return F.call_function("div", numerator, F.nullif(denominator, F.lit(0)))
+    """Integer division towards minus infinity by a positive number; null for a denominator of 0."""
+    whole = F.nullif(denominator, F.lit(0))
+    cut = F.call_function("div", numerator, whole)
+    return F.when(numerator % whole < 0, cut - 1).otherwise(cut)
 
 
 def money_sum(cents: Column | str) -> Column:

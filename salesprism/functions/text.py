@@ -7,6 +7,19 @@ import re
 from pyspark.sql import Column, functions as F
 
 
+#: Fixed value: white space as str.strip takes it.
+_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def stripped(col: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.btrim(col, F.lit(_SPACE))
+
+
+# fixed values in the next function: the two patterns define the output's column names
 def standard_name(name: str) -> str:
     """Column name in snake case: trimmed, lower case, only ``[a-z0-9_]``."""
     name = re.sub(r"[\s\-]+", "_", name.strip().lower())
@@ -29,7 +42,7 @@ def title_case(col: Column) -> Column:
 
 def yes_no(col: Column) -> Column:
     """Spellings of a flag to ``Yes`` or ``No``; anything unknown is ``No``."""
-    text = F.upper(F.trim(col.cast("string")))
+    text = F.upper(stripped(col.cast("string")))
     return F.when(text.isin("TRUE", "YES"), F.lit("Yes")).otherwise(F.lit("No"))
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesprism.functions.exact import mean_cents
-from salesprism.functions.text import standard_name, title_case, yes_no
+from salesprism.functions.text import standard_name, stripped, title_case, yes_no
 from salesprism.operators.quantiles import mode, scaled_quantiles
 from salesprism.session import materialised
 
@@ -122,17 +122,22 @@ def is_outlier(known: Statistics) -> Column:
     return (four < F.lit(known.low_x4)) | (four > F.lit(known.high_x4))
 
 
+def whole_number(text: Column) -> Column:
+    """A number in a text, cut to an integer; null for anything else."""
+    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+
+
 def filled_lines(lines: DataFrame, known: Statistics) -> DataFrame:
     """All gaps filled, numbers coerced, text and flags made uniform; nothing capped yet."""
     filled = date_parts(lines).withColumns(
         {
             "amount_cents": F.coalesce("amount_cents", F.lit(known.median_cents).cast("bigint")),
             "status": F.coalesce("status", F.lit(known.status_mode).cast("string")),
-            "qty": F.coalesce(F.col("qty").try_cast("int"), F.lit(1)),
+            "qty": F.coalesce(whole_number(F.col("qty")), F.lit(1)),
             **{c: F.coalesce(F.col(c), F.lit(text)) for c, text in FILLS.items()},
         }
     )
-    cased = {c: title_case(F.trim(c)) for c in TITLE_CASED if c in filled.columns}
+    cased = {c: title_case(stripped(F.col(c))) for c in TITLE_CASED if c in filled.columns}
     priced = filled.withColumns(
         {"unit_price_cents": mean_cents(F.col("amount_cents"), F.col("qty")), **cased}
     )

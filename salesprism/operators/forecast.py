@@ -17,6 +17,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from salesprism.functions.exact import units
 from salesprism.operators.scaling import Standardiser
 from salesprism.operators.series import FEATURES, LAGS, ROLLS, split_by_time
 from salesprism.session import checkpointed, materialised
@@ -54,9 +55,11 @@ class Trained:
 
 @dataclass(frozen=True)
 class Panel:
-    """Feature rows, written once, and their split by time."""
+    """Feature rows, written once, and their split by time; ``days`` are all days of each
+    series, also those whose history is too short for features."""
 
     rows: DataFrame
+    days: DataFrame
 
     @property
     def train(self) -> DataFrame:
@@ -67,8 +70,18 @@ class Panel:
         return self.rows.filter("not is_train")
 
 
-def panel(featured: DataFrame) -> Panel:
-    return Panel(materialised(split_by_time(featured)))
+def panel(featured: DataFrame, days: DataFrame | None = None) -> Panel:
+    """``days`` are the dense days that the features come from; without them only days with
+    features count as history."""
+    rows = materialised(split_by_time(featured))
+    if days is None:
+        return Panel(rows, rows)
+    by_day = Window.partitionBy("series").orderBy("date")
+    dense = days.select(
+        "series", "date", units("cents").alias(TARGET), F.col("orders").alias("daily_orders"),
+        (F.row_number().over(by_day) - 1).alias("t"),
+    )
+    return Panel(rows, materialised(dense))
 
 
 def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -158,12 +171,17 @@ def _state(rows: DataFrame) -> DataFrame:
     as the longest lag are kept; earlier ones matter through the means alone."""
     newest_first = Window.partitionBy("series").orderBy(F.desc("date"))
     recent = F.when(F.col("_back") <= max(LAGS), F.struct("date", TARGET, "daily_orders"))
+    steady = F.col("t") >= max(LAGS)  # the means leave out the days before full features
+
+    def mean_of_steady(make):
+        return F.coalesce(make(lambda c: F.when(steady, F.col(c))), make(F.col))
+
     grouped = rows.withColumn("_back", F.row_number().over(newest_first)).groupBy("series").agg(
         F.array_sort(F.collect_list(recent)).alias("days"),
         F.max("date").alias("last_date"),
         F.max("t").alias("last_t"),
-        F.avg(TARGET).alias("mean_revenue"),
-        F.try_divide(F.sum(TARGET), F.sum("daily_orders").cast("double")).alias("order_value"),
+        mean_of_steady(lambda c: F.avg(c(TARGET))).alias("mean_revenue"),
+        mean_of_steady(lambda c: F.try_divide(F.sum(c(TARGET)), F.sum(c("daily_orders")).cast("double"))).alias("order_value"),
     )
     return grouped.select(
         "series", "last_date", "last_t", "mean_revenue", "order_value",
@@ -213,7 +231,7 @@ def recursive_forecast(
     The state is checkpointed every few steps, so the plan stays short.
     """
     orders = _ORDERS_PARITY if parity else _ORDERS
-    state = checkpointed(_state(data.rows))
+    state = checkpointed(_state(data.days))
     for step in range(1, horizon + 1):
         guessed = best.predict(state.selectExpr("*", *_step_features(step)))
         state = guessed.selectExpr(

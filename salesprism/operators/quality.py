@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from salesprism.functions.exact import mean2, money_sum, percent2, units
-from salesprism.operators.cleaning import CleaningRun, is_outlier
+from salesprism.operators.cleaning import CleaningRun, is_outlier, whole_number
 
 
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -153,7 +153,7 @@ def cleaning_counts(run: CleaningRun) -> DataFrame:
         gaps("ship_city").alias("city_filled"),
         gaps("ship_state").alias("state_filled"),
         gaps("status").alias("status_filled"),
-        F.count_if(dated & F.col("qty").try_cast("int").isNull()).alias("qty_defaulted"),
+        F.count_if(dated & whole_number(F.col("qty")).isNull()).alias("qty_defaulted"),
         F.count(F.lit(1)).alias("distinct_rows"),
     ).select(
         "*",

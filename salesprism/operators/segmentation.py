@@ -29,7 +29,7 @@ SEGMENT_NAMES = (
 )
 RESTARTS = 10
 SEED = 42
-MAX_ITERATIONS = 50
+MAX_ITERATIONS = 300  # a safeguard: runs end by their tolerance
 _PARALLEL_FITS = 8
 
 

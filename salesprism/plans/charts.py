@@ -14,7 +14,7 @@ from salesprism.operators.windows import global_row_number
 from salesprism.plans.registry import NamedQuery, sql_mean2, sql_percent2, sql_units
 from salesprism.plans.reports import promotion_flag
 
-# fixed values: the categories of the given tables
+# fixed values: the categories of the given tables, for the oracle's columns only
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 L = "with sales as ({sales})"
@@ -33,6 +33,11 @@ _MEAN_CELL = (
 )
 
 
+def _categories(lines: DataFrame) -> list[str]:
+    """The categories in the data: the columns of a category matrix, one each."""
+    return [r[0] for r in lines.select("category").distinct().where("category is not null").orderBy("category").collect()]
+
+
 def _order_tiles(lines: DataFrame) -> DataFrame:
     orders = lines.groupBy("order_id").agg(F.sum("amount_cents").alias("order_cents"))
     return ntile(orders, "order_cents", "order_id", 4, "quartile")
@@ -161,14 +166,14 @@ CHARTS = [
     ),
     NamedQuery(
         "month_category_matrix", "Month by category",
-        lambda lines: rs.month_category_matrix(lines, CATEGORIES),
+        lambda lines: rs.month_category_matrix(lines, _categories(lines)),
         ("category", "order_date", "amount_cents"),
         f"{L} select strftime(order_date, '%Y-%m') as month, {_pivot_sql('category', CATEGORIES, _SUM_CELL)} "
         "from sales group by 1",
     ),
     NamedQuery(
         "state_category_matrix", "State by category",
-        lambda lines: rs.state_category_matrix(lines, CATEGORIES),
+        lambda lines: rs.state_category_matrix(lines, _categories(lines)),
         ("category", "ship_state", "amount_cents"),
         f"{L} select ship_state, {_pivot_sql('category', CATEGORIES, _SUM_CELL)} from sales group by 1",
     ),

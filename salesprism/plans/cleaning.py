@@ -56,7 +56,7 @@ def _cleaning_ctes() -> str:
         f"with raw as ({raw_sales_sql()}), dd as (select distinct * from raw), "
         "typed as (select *, cast(try_strptime(date, '%m-%d-%Y') as date) as d, "
         "cast(round(try_cast(amount as decimal(20,4))*100) as bigint) as cents, "
-        "try_cast(qty as int) as quantity from dd), "
+        "cast(trunc(try_cast(qty as double)) as int) as quantity from dd), "
         "dated as (select * from typed where d is not null), "
         "ra as (select cents, row_number() over (order by cents) as rn from dated where cents is not null), "
         f"med as (select (2*{_quantile_x4(2, 'ra', 'cents')}+4)//8 as m), "

@@ -10,17 +10,13 @@ from salesprism.operators.quantiles import box_stats
 from salesprism.plans.charts import _DAILY_COLUMNS, _RFM_COLUMNS, _feature_sql
 from salesprism.plans.registry import NamedQuery
 
-# fixed value: the published number of segments
-SEGMENTS = 3
-SAMPLE = 3000
-
 
 def _scored(lines: DataFrame) -> DataFrame:
     return cust.scored(cust.rfm(lines))
 
 
 def _segments(lines: DataFrame) -> DataFrame:
-    return sg.segment_customers(_scored(lines), SEGMENTS)
+    return sg.segment_customers(_scored(lines))
 
 
 def _elbow(lines: DataFrame) -> DataFrame:
@@ -30,13 +26,12 @@ def _elbow(lines: DataFrame) -> DataFrame:
 def _points(lines: DataFrame) -> DataFrame:
     points, model = sg.projection(_segments(lines))
     first, second = (float(v) for v in model.explainedVariance.toArray())
-    return sg.sampled(points, SAMPLE, "customer_id").withColumns(
-        {"pc1_variance": F.lit(first), "pc2_variance": F.lit(second)}
-    )
+    return points.withColumns({"pc1_variance": F.lit(first), "pc2_variance": F.lit(second)})
 
 
 def _panel(lines: DataFrame, series: str | None = None) -> fc.Panel:
-    return fc.panel(ts.with_features(ts.densified(ts.daily(lines, series))))
+    days = ts.densified(ts.daily(lines, series))
+    return fc.panel(ts.with_features(days), days)
 
 
 def _comparison(lines: DataFrame) -> DataFrame:
@@ -54,19 +49,26 @@ def _forecast(lines: DataFrame) -> DataFrame:
     """Past days and the 30-day forecast of the best of all models, with its band."""
     data = _panel(lines)
     best, _ = _best(data, fc.train(data))
-    return fc.history_and_forecast(data.rows, fc.recursive_forecast(data, best))
+    return fc.history_and_forecast(data.days, fc.recursive_forecast(data, best))
 
 
 def _forecast_by_category(lines: DataFrame) -> DataFrame:
     data = _panel(lines, "category")
-    forest = fc.train(data, [fc.MODEL_NAMES[2]])[0]
-    return fc.with_band(fc.recursive_forecast(data, forest))
+    best, _ = _best(data, fc.train(data))
+    return fc.with_band(fc.recursive_forecast(data, best))
 
 
 def _forecast_kpis(lines: DataFrame) -> DataFrame:
-    """Forecast block per category with the better of the two linear models."""
+    """Forecast block per category with the best of all models."""
     data = _panel(lines, "category")
-    best, compared = _best(data, fc.train(data, fc.MODEL_NAMES[:2]))
+    best, compared = _best(data, fc.train(data))
+    return fc.forecast_kpis(fc.recursive_forecast(data, best), compared)
+
+
+def _forecast_kpis_total(lines: DataFrame) -> DataFrame:
+    """Forecast block of all sales together."""
+    data = _panel(lines)
+    best, compared = _best(data, fc.train(data))
     return fc.forecast_kpis(fc.recursive_forecast(data, best), compared)
 
 
@@ -110,6 +112,7 @@ MODELS = [
     NamedQuery(
         "forecast_kpis", "Forecast totals per category", _forecast_kpis, (*_DAILY_COLUMNS, "category"),
     ),
+    NamedQuery("forecast_kpis_total", "Forecast totals of all sales", _forecast_kpis_total, _DAILY_COLUMNS),
     NamedQuery("feature_importance", "Top features of the forest", _importance, _DAILY_COLUMNS),
     NamedQuery(
         "week_ago_metrics", "Error of the week-ago prediction", _week_ago, (*_DAILY_COLUMNS, "category"),

@@ -13,7 +13,7 @@ from salesprism.plans.registry import NamedQuery, sql_mean2, sql_percent2, sql_u
 from salesprism.session import materialised
 from salesprism.sources.sales import delivered_view, sales, sales_sql
 
-# fixed values: the days the calendar of the given tables covers
+# fixed values: the days that the calendar covers at least
 START, END = date(1992, 1, 1), date(2001, 12, 31)
 
 _COLUMNS = (
@@ -31,8 +31,15 @@ def _staging_table(spark: SparkSession, folder: str) -> DataFrame:
     return materialised(_staged(spark, folder))
 
 
-def _dates(spark: SparkSession) -> DataFrame:
-    return w.calendar(spark, START, END)
+def _span(spark: SparkSession, folder: str) -> tuple[date, date]:
+    """Whole years that hold every order date, and the least span."""
+    found = spark.read.parquet(f"{folder}/orders.parquet").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    years = [found[k].year if found[k] else START.year for k in "ab"]
+    return min(START, date(years[0], 1, 1)), max(END, date(years[1], 12, 31))
+
+
+def _dates(spark: SparkSession, folder: str) -> DataFrame:
+    return w.calendar(spark, *_span(spark, folder))
 
 
 def _fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,12 +49,12 @@ def _fact(spark: SparkSession, folder: str) -> DataFrame:
 def _calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar with the order lines of each day."""
     lines = _fact(spark, folder).groupBy("date_key").agg(F.count(F.lit(1)).alias("lines"))
-    return _dates(spark).join(lines, "date_key", "left").fillna({"lines": 0})
+    return _dates(spark, folder).join(lines, "date_key", "left").fillna({"lines": 0})
 
 
 def _report_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Revenue per week of the report calendar, joined one to many."""
-    dates = w.report_calendar(spark, START, END)
+    dates = w.report_calendar(spark, *_span(spark, folder))
     lines = sales(spark, folder, "order_id", "order_date", "qty", "amount_cents")
     joined = lines.join(F.broadcast(dates), F.col("order_date") == F.col("full_date"))
     return totals(joined, "year", "week_number").select(
@@ -58,7 +65,7 @@ def _report_calendar(spark: SparkSession, folder: str) -> DataFrame:
 def _orders_flat(spark: SparkSession, folder: str) -> DataFrame:
     staged = _staging_table(spark, folder)
     return w.orders_flat(
-        w.fact_orders(staged), _dates(spark), w.dim_product(staged), w.dim_location(staged),
+        w.fact_orders(staged), _dates(spark, folder), w.dim_product(staged), w.dim_location(staged),
         w.dim_channel(staged),
     )
 
@@ -68,7 +75,7 @@ def _checks(spark: SparkSession, folder: str) -> DataFrame:
     return w.checks(
         w.fact_orders(staged),
         {
-            "dim_date": (_dates(spark), "date_key"),
+            "dim_date": (_dates(spark, folder), "date_key"),
             "dim_product": (w.dim_product(staged), "product_key"),
             "dim_location": (w.dim_location(staged), "location_key"),
             "dim_channel": (w.dim_channel(staged), "channel_key"),
@@ -80,7 +87,7 @@ def _row_counts(spark: SparkSession, folder: str) -> DataFrame:
     staged = _staging_table(spark, folder)
     return w.row_counts(
         {
-            "dim_date": _dates(spark),
+            "dim_date": _dates(spark, folder),
             "dim_product": w.dim_product(staged),
             "dim_location": w.dim_location(staged),
             "dim_channel": w.dim_channel(staged),
@@ -199,7 +206,7 @@ WAREHOUSE = [
         f"{sql_units('amount_cents')} as amount, status, b2b, promotion_ids from sales",
     ),
     NamedQuery(
-        "monthly_kpi", "Monthly KPI view", lambda s, f: w.monthly_kpi(_fact(s, f), _dates(s)), None,
+        "monthly_kpi", "Monthly KPI view", lambda s, f: w.monthly_kpi(_fact(s, f), _dates(s, f)), None,
         f"{_SALES} select year(order_date) as year, month(order_date) as month_number, "
         f"strftime(order_date, '%B') as month_name, {_KPI}, "
         "count(case when status='Delivered' then 1 end) as delivered_orders, "

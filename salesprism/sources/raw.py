@@ -81,7 +81,9 @@ _RULES = {
     "Size": "case when size = 'S3' then '3XL' when size = 'S4' then 'o''neil st' else size end",
     "ASIN": "asin",
     "Courier Status": "case when courier_status = 'Unknown' then null else courier_status end",
-    "Qty": f"case when {_PART} % 90 = 3 then 'x' else cast(qty as {{str}}) end",
+    "Qty": f"case when {_PART} % 90 = 3 then 'x' when {_PART} % 90 = 5 "
+    "then concat(cast(qty as {str}), '.7') when " + f"{_PART} % 90 = 7 then concat(cast(qty as {{str}}), '.0') "
+    "else cast(qty as {str}) end",
     "currency": "currency",
     "Amount": f"case when {_PART} % 25 = 0 then null when order_id % 400 = 11 then "
     + _MONEY.replace("{cents}", "(amount_cents * 40)")

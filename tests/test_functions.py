@@ -61,3 +61,30 @@ def test_rounding_is_half_up_and_exact(spark):
         exact.safe_divide(F.col("s"), F.lit(0)),
     ).first()
     assert tuple(row) == (0.03, 12.5, -33.33, None, 0.0)
+
+
+@pytest.mark.parametrize("total,count,mean", [(7, 3, 2), (-7, 3, -2), (-8, 3, -3), (8, 3, 3), (-3, 2, -1), (3, 2, 2), (0, 5, 0)])
+def test_mean_is_half_up_on_both_sides_of_zero(spark, total, count, mean):
+    row = spark.createDataFrame([(total, count)], "t bigint, c bigint").select(exact.mean_cents(F.col("t"), F.col("c"))).first()
+    assert row[0] == mean
+
+
+def test_floor_division_of_negative_decimals(spark):
+    row = spark.sql("select cast(-250 as decimal(38,0)) as a, 200L as b").select(exact.floor_div(F.col("a"), F.col("b"))).first()
+    assert row[0] == -2
+
+
+def test_strip_takes_all_white_space(spark):
+    from salesprism.functions.text import stripped
+
+    texts = ["\t a b\n", "\xa0x\u3000", "", " \r\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(stripped(F.col("t"))).collect()] == [t.strip() for t in texts]
+
+
+def test_quantity_texts(spark):
+    from salesprism.operators.cleaning import whole_number
+
+    texts = ["2", "2.0", "2.7", "-1.5", "x", "NaN", "1e30", None, "1e1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(whole_number(F.col("t"))).collect()] == [2, 2, 2, -1, None, None, None, None, 10]

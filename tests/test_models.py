@@ -159,3 +159,21 @@ def test_clusters(customers):
 def test_segment_names(spark):
     df = spark.range(1, 8).select(sg.segment_name(F.col("id").cast("int")).alias("n"))
     assert [r["n"] for r in df.collect()][-3:] == ["Lost Customers", "Segment 6", "Segment 7"]
+
+
+def test_short_series_is_forecast_too(spark):
+    """A series without a full history has forecast days, and all days are history."""
+    from datetime import date, timedelta
+
+    from salesprism.operators import forecast as fc
+
+    start = date(2022, 1, 1)
+    rows = [("long", start + timedelta(days=k), k % 7 + 1, 1000 * (k % 7 + 1), 2) for k in range(120)]
+    rows += [("new", start + timedelta(days=115 + k), 1, 700, 1) for k in range(5)]
+    days = spark.createDataFrame(rows, "series string, date date, orders bigint, cents bigint, qty bigint")
+    data = fc.panel(ts.with_features(days), days)
+    model = fc.train(data, fc.MODEL_NAMES[:1])[0]
+    forecast = fc.recursive_forecast(data, model)
+    assert {r["series"]: r["count"] for r in forecast.groupBy("series").count().collect()} == {"long": 30, "new": 30}
+    past = fc.history_and_forecast(data.days, forecast).where("kind = 'actual'")
+    assert past.count() == 125
