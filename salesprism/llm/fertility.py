@@ -17,6 +17,8 @@ from salesprism.llm.tokens import WordCache, slices, tokenizer, tokenizer_path
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 SYMBOLS = "#*$%&|<>"
 CHUNK = 256  # pieces over which entropy is measured, so that it doesn't depend on length
+KEPT = 120_000  # words whose tokens and pieces a worker holds, twice at most
+SLICE = 1_500_000  # characters of texts split into words at once
 LEAST_DOCS = 200  # languages with fewer documents take the bands of all
 #: measure: bins in a unit, half width of the band in robust standard deviations, the least
 #: such deviation, rejects below, rejects above
@@ -46,7 +48,7 @@ def _word_values() -> tuple[WordCache, np.ndarray]:
             return [(len(e), array("I", p).tobytes()) for e, p in zip(encoded, split)]
 
         fallback = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
-        _VALUES.append((WordCache(values), fallback))
+        _VALUES.append((WordCache(values, KEPT), fallback))
     return _VALUES[0]
 
 
@@ -111,7 +113,7 @@ def measured(docs: DataFrame) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             numbers, langs = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist()
             rows = []
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 split = [t.encode().split() for t in texts[a:b]]
                 cache, byte_piece = _word_values()
                 values = cache.ready(split)

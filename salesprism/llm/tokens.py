@@ -16,7 +16,7 @@ WHITE_SPACE = (
 #: A blank after other white space: a cut there would part a run of white space.
 _BLANK_IN_RUN = re.compile(f"[{WHITE_SPACE}] ")
 
-KEPT = 500_000  # encoded words kept by a Python worker; for speed, never for results
+KEPT = 300_000  # encoded words kept by a Python worker; for speed, never for results
 LONGEST = 64  # longer words are not kept
 
 
@@ -28,10 +28,11 @@ def tokenizer_path(name: str) -> str:
 
 
 class WordCache:
-    """Values of words, computed in batches; holds at most twice ``KEPT`` words."""
+    """Values of words, computed in batches; holds at most twice ``kept`` words."""
 
-    def __init__(self, compute: Callable[[list], list]) -> None:
+    def __init__(self, compute: Callable[[list], list], kept: int = KEPT) -> None:
         self.compute = compute
+        self.kept = kept
         self.young: dict = {}
         self.old: dict = {}
 
@@ -46,7 +47,7 @@ class WordCache:
         found = {w: self.old[w] for w in missing.intersection(self.old)}
         new = list(missing.difference(found))
         found.update(zip(new, self.compute(new)))
-        if len(self.young) + len(found) > KEPT:
+        if len(self.young) + len(found) > self.kept:
             needed = {w: self.young[w] for w in wanted.difference(missing)}
             self.old = self.young
             self.young = {w: v for w, v in needed.items() if len(w) <= LONGEST}
