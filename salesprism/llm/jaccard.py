@@ -15,11 +15,11 @@ from salesprism.llm.store import stored
 from salesprism.llm.tokens import slices
 
 SHARE = 80  # per cent of the union that linked documents have in common
-GROUP = 6_000_000  # shingles that one task counts or looks up, about
+GROUP = 3_000_000  # shingles that one task counts or looks up, about
 MOST_MATCHES = 8  # the longest prefix asks for so many shared shingles
 ROUNDS = 2  # in which sets look for a hub; the join does the rest
 CHECK_COST = 3.0  # of verifying a candidate, in postings that meet
-SLICE = 1_500_000  # characters hashed at once
+SLICE = 500_000  # characters hashed at once
 
 
 def least_common(n, share: int = SHARE):

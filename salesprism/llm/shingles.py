@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
-PIECE = 1 << 20  # bytes hashed at once; longer words are hashed whole
+PIECE = 1 << 18  # bytes hashed at once; longer words are hashed whole
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
