@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +38,8 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None and context.getCheckpointDir() is not None:
         folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        # the executors of local-cluster are processes of their own, as on any cluster
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="salesprism-checkpoint-")
     if context.getCheckpointDir() is None:
@@ -43,6 +47,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_RUN = "salesprism.run.folder"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables stored inside the block, which is removed after it.
+
+    Results must be written or collected inside, since they read these tables.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/salesprism-run-{uuid.uuid4().hex}"
+    before = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def table_folder(spark: SparkSession) -> str:
+    """Where stored tables go: the run's folder, or the shared one outside of a run."""
+    return spark.conf.get(_RUN, None) or shared_folder(spark).rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so a lost executor loses no rows."""
     shared_folder(df.sparkSession)
@@ -53,9 +85,10 @@ def materialised(df: DataFrame) -> DataFrame:
     """Write the rows as a Parquet table in the shared folder and read it back.
 
     For tables that several later passes read: each pass scans only its own columns,
-    and a lost executor loses no work. The files stay until the folder is cleared.
+    and a lost executor loses no work. The files stay until the ``run_folder`` is left, or
+    until the shared folder is cleared.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/salesprism-{uuid.uuid4().hex}"
+    path = f"{table_folder(spark)}/salesprism-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
