@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import types as T
 
+from plain import prose
+
 SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -15,16 +17,6 @@ SCHEMA = T.StructType(
     ]
 )
 
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma".split()
-
-
-def prose(n: int, seed: int) -> str:
-    import random
-
-    pick = random.Random(seed)
-    return " ".join(pick.choice(WORDS) + pick.choice(["", "", "s", "ed", "ing"]) for _ in range(n))
-
-
 def awkward_rows() -> list[tuple]:
     """Nulls in every column, empty and very long texts, odd white space, ties and repeated rows."""
     base = prose(120, 1)

@@ -4,11 +4,11 @@ import numpy as np
 import pytest
 
 import plain
+from plain import prose
 from salesprism.llm import jaccard, projections
 from salesprism.llm.components import components
 from salesprism.llm.queries import queries
 from salesprism.llm.shingles import shingle_sets, word_hashes
-from conftest import prose
 
 
 def test_components(spark):
