@@ -1,16 +1,9 @@
 import os
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-from salesprism.session import local_session  # noqa: E402
-
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
+from salesprism.session import local_session
+from oracle import TABLES
 
 
 @pytest.fixture(scope="session")

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from salesprism.plans.catalogue import all_queries
 from salesprism.sources.sales import sales
-from conftest import TABLES
-from oracle import compare
+from oracle import TABLES, compare
 
 KEYS = [
     "q01_overall_kpis", "q08_category_revenue", "q09_top_products_by_revenue", "q14_top_cities",
