@@ -18,7 +18,12 @@ PER_DOCUMENT = 6  # bound on the windows taken of one document, spread over its
 STEPS, BATCH, RATE = 300, 256, 0.02
 TOGETHER = 2048  # windows read at once
 SLICE = 2_000_000  # characters of texts held at once
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD_SIGN = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter; numerals such as superscripts are none."""
+    return any(m[0].isalpha() for m in _WORD_SIGN.finditer(text or ""))
 
 
 def windows(texts: list[bytes], width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,7 +224,7 @@ def predicted(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
             texts = batch.column("text").to_pylist()
             names, scores = ["und"] * len(texts), np.zeros(len(texts))
             for a, b in slices(texts, SLICE):
-                own = [i for i in range(a, b) if texts[i] and _LETTER.search(texts[i])] if languages else []
+                own = [i for i in range(a, b) if has_letter(texts[i])] if languages else []
                 data = [texts[i].encode() for i in own]
                 if not own:
                     continue

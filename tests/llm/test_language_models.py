@@ -111,6 +111,10 @@ def test_network_gradients():
         assert (losses[0] - losses[1]) / 2e-6 == pytest.approx(slopes[name][at], rel=1e-3, abs=1e-8)
 
 
+def test_letters():
+    assert [language.has_letter(t) for t in (None, "", "12 ² ½ _", "x", "①é")] == [False, False, False, True, True]
+
+
 def test_windows_hold_every_byte():
     texts = [b"abcdefg", b"", b"xyz"]
     rows, owner, sizes = language.windows(texts, 3)
