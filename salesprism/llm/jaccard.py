@@ -270,9 +270,13 @@ def links(sets: DataFrame, share: int = SHARE) -> DataFrame:
         kept = found if kept is None else kept.unionByName(found)
         met = found.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         left = stored(left.join(met, "class", "left_anti"))
-    clusters = sets.select("class", "n", "wanted").join(
-        kept.select(F.col("a").alias("class"), F.col("b").alias("_hub"), "distance"), "class", "left"
-    ).select("class", "n", "wanted", F.coalesce("_hub", "class").alias("cluster"), F.coalesce("distance", F.lit(0.0)).alias("radius"))
+    clusters = sets.select("class", "n", "own", "wanted").join(
+        kept.select(F.col("a").alias("class"), F.col("b").alias("_hub"), "distance", "common"), "class", "left"
+    ).select(
+        "class", "n", "wanted", F.coalesce("_hub", "class").alias("cluster"),
+        F.coalesce("distance", F.lit(0.0)).alias("radius"), F.round(F.col("own") * F.col("n")).alias("single"),
+        F.coalesce("common", "n").alias("of_hub"),
+    )
     clusters = stored(clusters)
     about = clusters.groupBy("cluster").agg(
         F.min("wanted").alias("wanted"), F.min("n").alias("least"), F.max("n").alias("most"),
@@ -316,7 +320,7 @@ def _between_members(
     open_pairs = (
         hubs.where("not linked").join(sizes[0], "a").join(sizes[1], "b")
         .where((F.col("s_a") + F.col("s_b") > 2) & (F.col("distance") <= limit + F.col("r_a") + F.col("r_b")))
-        .select("a", "b", "distance")
+        .select("a", "b", "distance", "common", "s_a", "s_b")
     )
     open_pairs = stored(open_pairs)
     if open_pairs.isEmpty():
@@ -326,16 +330,28 @@ def _between_members(
         named = roots.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}"))
         open_pairs = open_pairs.join(named, k, "left").withColumn(f"root_{k}", F.coalesce(f"root_{k}", k))
     inside = [
-        clusters.select(F.col("cluster").alias(k), F.col("class").alias(f"m_{k}"), F.col("n").alias(f"n_{k}"), F.col("radius").alias(f"r_{k}"))
+        clusters.select(
+            F.col("cluster").alias(k), F.col("class").alias(f"m_{k}"),
+            *[F.col(c).alias(f"{c[0]}_{k}_") for c in ("n", "radius", "single", "of_hub")],
+        )
         for k in "ab"
     ]
+    # Linked sets differ in (100 - share) / (100 + share) of the sum of their sizes at most. They
+    # differ in the shingles that each has alone, none of which is in a hub of another set, and, where
+    # one is itself a hub, in at least as many of the other hub's as they have more or fewer of them.
+    of_a, of_b = (
+        F.when(F.col(f"s_{one}") == 1, F.abs(F.col(f"o_{other}_") - F.col("common"))).otherwise(0)
+        for one, other in ("ba", "ab")
+    )
+    differ = F.col("s_a_") + F.col("s_b_") + F.greatest(of_a, of_b)
     pairs = (
         open_pairs.where("root_a <> root_b")
-        .join(inside[0], "a").where(F.col("distance") - F.col("r_a") <= 2 * limit)
+        .join(inside[0], "a").where(F.col("distance") - F.col("r_a_") <= 2 * limit)
         .join(inside[1], "b")
         .where(
-            (F.col("distance") - F.col("r_a") - F.col("r_b") <= limit)
-            & (F.greatest("n_a", "n_b") * share <= F.least("n_a", "n_b") * 100)
+            (F.col("distance") - F.col("r_a_") - F.col("r_b_") <= limit)
+            & (F.greatest("n_a_", "n_b_") * share <= F.least("n_a_", "n_b_") * 100)
+            & (differ * (100 + share) <= (F.col("n_a_") + F.col("n_b_")) * (100 - share))
         )
         .select(*_ordered("m_a", "m_b"))
         .distinct()
