@@ -280,7 +280,7 @@ def links(sets: DataFrame, share: int = SHARE) -> DataFrame:
     clusters = stored(clusters)
     about = clusters.groupBy("cluster").agg(
         F.min("wanted").alias("wanted"), F.min("n").alias("least"), F.max("n").alias("most"),
-        F.max("radius").alias("radius"), F.count(F.lit(1)).alias("sets"),
+        F.max("radius").alias("radius"), F.every(F.col("class") == F.col("cluster")).alias("alone"),
     )
     about = stored(about)
     lists = (
@@ -316,11 +316,12 @@ def _between_members(
 ) -> DataFrame:
     """Links of members where their hubs are not linked but near enough that members may be."""
     limit = 1.0 - share / 100 + 1e-9
-    sizes = [about.select(F.col("cluster").alias(k), F.col("radius").alias(f"r_{k}"), F.col("sets").alias(f"s_{k}")) for k in "ab"]
+    # a hub that joined another's cluster is not in its own, so one member alone need not be the hub
+    reach = [about.select(F.col("cluster").alias(k), F.col("radius").alias(f"r_{k}"), F.col("alone").alias(f"alone_{k}")) for k in "ab"]
     open_pairs = (
-        hubs.where("not linked").join(sizes[0], "a").join(sizes[1], "b")
-        .where((F.col("s_a") + F.col("s_b") > 2) & (F.col("distance") <= limit + F.col("r_a") + F.col("r_b")))
-        .select("a", "b", "distance", "common", "s_a", "s_b")
+        hubs.where("not linked").join(reach[0], "a").join(reach[1], "b")
+        .where(~(F.col("alone_a") & F.col("alone_b")) & (F.col("distance") <= limit + F.col("r_a") + F.col("r_b")))
+        .select("a", "b", "distance", "common", "alone_a", "alone_b")
     )
     open_pairs = stored(open_pairs)
     if open_pairs.isEmpty():
@@ -340,7 +341,7 @@ def _between_members(
     # differ in the shingles that each has alone, none of which is in a hub of another set, and, where
     # one is itself a hub, in at least as many of the other hub's as they have more or fewer of them.
     of_a, of_b = (
-        F.when(F.col(f"s_{one}") == 1, F.abs(F.col(f"o_{other}_") - F.col("common"))).otherwise(0)
+        F.when(F.col(f"alone_{one}"), F.abs(F.col(f"o_{other}_") - F.col("common"))).otherwise(0)
         for one, other in ("ba", "ab")
     )
     differ = F.col("s_a_") + F.col("s_b_") + F.greatest(of_a, of_b)

@@ -8,7 +8,7 @@ from plain import prose
 from salesprism.llm import jaccard, projections
 from salesprism.llm.components import components
 from salesprism.llm.queries import queries
-from salesprism.llm.shingles import shingle_sets, word_hashes
+from salesprism.llm.shingles import set_hash, shingle_sets, word_hashes
 
 
 def test_components(spark):
@@ -69,6 +69,28 @@ def test_members_far_from_their_hub(spark):
     assert found == {i: c for i, (_, c) in plain.jaccard_components(rows).items()}
 
 
+def test_hub_in_another_cluster(spark):
+    """Chain c - b - a - d where hub b is in the cluster of c, its own holds only a, and d links with a alone."""
+
+    def word(name, n):
+        return [f"{name}{k}" for k in range(n)]
+
+    for seed in range(500):
+        k, bc, ad, ab, c, d = (word(f"{x}{seed}_", n) for x, n in zip("kpqxcd", (86, 8, 8, 10, 10, 10)))
+        chain = [bc + k + c, ad + k + d, bc + k + ab, ad + k + ab]  # c, d, b, a
+        classes = [set_hash(s) for s in shingle_sets([" ".join(t) for t in chain])]
+        if classes == sorted(classes):
+            break
+    else:
+        raise AssertionError("no seed gives the order of classes")
+    others = [word("r", 90) + k[-4:] + c, word("s", 90) + k[-4:] + d]
+    rows = [(i, " ".join(t)) for i, t in enumerate(chain + others)]
+    want = plain.jaccard_components(rows)
+    assert [want[i][1] for i in range(6)] == [0, 0, 0, 0, 4, 5]
+    found = jaccard.joined(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+
+
 def test_jaccard_awkward(awkward, nothing):
     found = jaccard.joined(awkward).collect()
     assert len(found) == awkward.count()
