@@ -19,7 +19,7 @@ SYMBOLS = "#*$%&|<>"
 CHUNK = 256  # pieces over which entropy is measured, so that it doesn't depend on length
 KEPT = 120_000  # words whose tokens and pieces a worker holds, twice at most
 SLICE = 1_500_000  # characters of texts split into words at once
-LEAST_DOCS = 200  # languages with fewer documents take the bands of all
+LEAST_DOCS = 200  # bands of fewer documents are wider, and those of their language's scripts count too
 #: measure: bins in a unit, half width of the band in robust standard deviations, the least
 #: such deviation, rejects below, rejects above
 MEASURES = {
@@ -87,28 +87,28 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def script(words: list[bytes]) -> str:
+def script(text: str) -> str:
     """The script most letters of a text belong to, as Unicode names it."""
-    letters = Counter(ch for w in words for ch in w.decode() if ch.isalpha())
     found: Counter = Counter()
-    for letter, n in letters.items():
-        found[unicodedata.name(letter, "UNKNOWN").split()[0]] += n
+    for ch, n in Counter(text).items():
+        if ch.isalpha():
+            found[unicodedata.name(ch, "UNKNOWN").split()[0]] += n
     return min(found, key=lambda s: (-found[s], s)) if found else "NONE"
 
 
 _MEASURED = (
-    "doc_id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+    "doc_id bigint, lang string, script string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, n_tokens bigint, n_pieces bigint, n_fallback bigint, piece_entropy double"
 )
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Counts and fertility of each document of (doc_id, lang, text); where lang is null, the
-    text's main script in brackets stands for it."""
+    """Counts, main script and fertility of each document of (doc_id, lang, text); where lang is
+    null, the script in brackets stands for it."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in _MEASURED.split(", ")]
-        kinds = {"lang": pa.string(), "piece_entropy": pa.float64()}
+        kinds = {"lang": pa.string(), "script": pa.string(), "piece_entropy": pa.float64()}
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             numbers, langs = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist()
@@ -120,10 +120,11 @@ def measured(docs: DataFrame) -> DataFrame:
                 for i, words in zip(range(a, b), split):
                     text = texts[i]
                     own = [values[w] for w in words]
+                    letters = script(text)
                     ids = np.frombuffer(b"".join([v[1] for v in own]), dtype="<u4").astype(np.int64)
                     rows.append(
                         (
-                            numbers[i], langs[i] if langs[i] is not None else f"({script(words)})", len(words),
+                            numbers[i], langs[i] if langs[i] is not None else f"({letters})", letters, len(words),
                             len(text) - sum(map(text.count, " \t\n\r\x0b\x0c")),
                             sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeated_words(words),
                             sum([v[0] for v in own]), len(ids), int(byte_piece[ids].sum()), entropy(ids),
@@ -151,67 +152,92 @@ def _share(part: str, whole: str) -> Column:
 
 
 def bands(rows: DataFrame) -> DataFrame:
-    """For each language, and for all together as null: limits low_* and high_* of each
-    measure, around the median by so many times the quartiles' distance, as a standard
-    deviation. Quantiles come from counts of bins, so rows of a language are never gathered."""
+    """For each language, each script, and all together (kind lang, script or all; name, null for
+    all): number of documents and limits low_* and high_* of each measure, around the median by so
+    many times the quartiles' distance, as a standard deviation. Under ``LEAST_DOCS`` documents
+    tell less of it, so the band is wider by the root of what is missing. Quantiles come from counts of bins, so
+    rows of a language are never gathered."""
     cells = F.explode(
         F.array(*[
             F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * bins).cast("bigint").alias("bin"))
             for m, (bins, *_) in MEASURES.items()
         ])
     )
-    counts = rows.select("lang", cells.alias("cell")).groupBy("lang", "cell.measure", "cell.bin").agg(
+    counts = rows.select("lang", "script", cells.alias("cell")).groupBy("lang", "script", "cell.measure", "cell.bin").agg(
         F.count(F.lit(1)).alias("n")
     )
-    counts = stored(counts)  # a row for each language, measure and bin
-    pooled = counts.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
-    counts = counts.unionByName(pooled.withColumn("lang", F.lit(None).cast("string")))
-    group = Window.partitionBy("lang", "measure")
+    counts = stored(counts)  # a row for each language, script, measure and bin
+    kinds = F.explode(
+        F.array(*[
+            F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+            for kind, name in (("lang", F.col("lang")), ("script", F.col("script")), ("all", F.lit(None).cast("string")))
+        ])
+    )
+    counts = counts.select(kinds.alias("of"), "measure", "bin", "n").groupBy("of.kind", "of.name", "measure", "bin").agg(
+        F.sum("n").alias("n")
+    )
+    group = Window.partitionBy("kind", "name", "measure")
     upto = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     ranked = counts.withColumns({"upto": upto, "docs": F.sum("n").over(group)})
 
     def quantile(q: float) -> Column:
         return F.min(F.when(F.col("upto") >= F.col("docs") * q, F.col("bin")))
 
-    found = ranked.groupBy("lang", "measure").agg(
+    found = ranked.groupBy("kind", "name", "measure").agg(
         F.max("docs").alias("docs"), quantile(0.25).alias("q1"), quantile(0.5).alias("q2"), quantile(0.75).alias("q3")
     )
+    wider = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(LEAST_DOCS)) / F.col("docs")))
     columns = []
     for measure, (bins, width, least, below, above) in MEASURES.items():
-        reach = F.greatest((F.col("q3") - F.col("q1")) / F.lit(1.349 * bins), F.lit(least)) * width
+        reach = F.greatest((F.col("q3") - F.col("q1")) / F.lit(1.349 * bins), F.lit(least)) * width * wider
         here = F.col("measure") == measure
         low = F.col("q2") / bins - reach if below else F.lit(float("-inf"))
         high = F.col("q2") / bins + reach if above else F.lit(float("inf"))
         columns += [F.max(F.when(here, low)).alias(f"low_{measure}"), F.max(F.when(here, high)).alias(f"high_{measure}")]
-    return found.groupBy("lang").agg(F.max("docs").alias("docs"), *columns)
+    return found.groupBy("kind", "name").agg(F.max("docs").alias("docs"), *columns)
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """Adds base_failed, outside (the measures outside their band) and kept to ``measured``.
 
-    Bands are learned from all documents that the base rules pass. Languages of under
-    ``LEAST_DOCS`` such documents, and scripts where lang is null, are judged by the bands of
-    all if they are as rare. Null and empty texts fail by the base rules; repeated rows are
-    judged each; an empty table gives no rows; other columns are ignored.
+    Bands are learned from all documents that the base rules pass. A language of under
+    ``LEAST_DOCS`` such documents (or a script, where lang is null) is judged by its own band and
+    that of the text's script together: what is inside either passes, and no other script's
+    documents count. Only texts without letters, which have no script, are judged by the band of all there. Null and
+    empty texts fail by the base rules; repeated rows are judged each; an empty table gives no
+    rows; other columns are ignored.
     """
     rows = stored(
         measured(docs).withColumn(
             "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
         )
     )
-    limits = stored(bands(rows.where("not base_failed")))  # a row for each language
-    own = limits.where(F.col("lang").isNotNull() & (F.col("docs") >= LEAST_DOCS)).withColumnRenamed("lang", "_lang")
-    every = limits.where("lang is null").first()
-    met = rows.join(own, F.col("lang") == F.col("_lang"), "left")
+    limits = stored(bands(rows.where("not base_failed")))  # a row for each language and script
+    sides = [f"{side}_{measure}" for measure in MEASURES for side in ("low", "high")]
+
+    def of(kind: str) -> DataFrame:
+        own = limits.where(F.col("kind") == kind)
+        return own.select(F.col("name").alias(f"_{kind}"), F.col("docs").alias(f"_docs_{kind}"), *[F.col(c).alias(f"{c}_{kind}") for c in sides])
+
+    every = limits.where(F.col("kind") == "all").first()
+    met = rows.join(of("lang"), F.col("lang") == F.col("_lang"), "left").join(
+        of("script"), F.col("script") == F.col("_script"), "left"
+    )
+
+    def limit(name: str, wider) -> Column:
+        whole = F.lit(every[name] if every else None).cast("double")
+        return (
+            F.when(F.col("_docs_lang") >= LEAST_DOCS, F.col(f"{name}_lang"))
+            .when(F.col("script") == "NONE", whole)
+            .otherwise(wider(f"{name}_lang", f"{name}_script"))
+        )
+
     outside = []
     for measure in MEASURES:
-        low, high = (
-            F.coalesce(f"{side}_{measure}", F.lit(every[f"{side}_{measure}"] if every else None).cast("double"))
-            for side in ("low", "high")
-        )
+        low, high = limit(f"low_{measure}", F.least), limit(f"high_{measure}", F.greatest)
         outside.append(F.when((F.col(measure) < low) | (F.col(measure) > high), F.lit(measure)))
     return met.withColumn("outside", F.array_compact(F.array(*outside))).select(
-        *rows.columns, "outside", (~F.col("base_failed") & (F.size("outside") == 0)).alias("kept")
+        *[c for c in rows.columns if c != "script"], "outside", (~F.col("base_failed") & (F.size("outside") == 0)).alias("kept")
     )
 
 

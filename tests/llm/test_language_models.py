@@ -49,6 +49,32 @@ def test_junk_is_outside_the_bands(spark):
     assert sum(bad) < 0.8 * len(bad)
 
 
+RARE = {
+    "el": "η θάλασσα είναι ήρεμη σήμερα και τα παιδιά παίζουν στην άμμο ενώ οι γονείς τους διαβάζουν βιβλία κάτω από το δέντρο "
+    "ο δρόμος προς χωριό περνά μέσα παλιό δάσος όπου πουλιά τραγουδούν κάθε πρωί μας φέρνει ψωμί τυρί ελιές κρασί γείτονας",
+    "hi": "आज सुबह बाज़ार में बहुत भीड़ थी और लोग ताज़ा फल सब्ज़ियाँ खरीद रहे थे जबकि बच्चे पास के मैदान खेल बारिश शुरू होने से पहले सब अपने घर लौट गए "
+    "नदी किनारे पुराना मंदिर है जहाँ हर साल मेला लगता दूर गाँवों यात्री आते संगीत सुनते मिठाई खाते कहानियाँ",
+    "ko": "오늘 아침 시장에는 사람들이 매우 많았고 아이들은 운동장에서 공을 차며 놀았다 비가 오기 전에 모두 집으로 돌아갔다 강가에는 오래된 절이 있는데 해마다 "
+    "축제가 열리고 먼 마을에서 손님들이 찾아온다 음악을 듣고 떡을 먹으며 옛날 이야기를 나눈다 밤하늘 별빛 아래 조용히 걷는다",
+}
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_rare_scripts_have_no_band_of_others(spark, named):
+    random, rows = np.random.default_rng(4), []
+    for lang, text in RARE.items():
+        for _ in range(3):
+            words = text.split()
+            rows.append((1_000_000 + len(rows), " ".join(random.permutation(words * 2)), lang if named else None))
+    rows += [(2_000_000, " ".join(f"{k % 7}{'#' * 40}" for k in random.permutation(400)), "tlh" if named else None)]
+    english = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang")
+    docs = english.unionByName(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    found = {r["doc_id"]: r for r in fertility.judged(docs).where("doc_id >= 1000000").collect()}
+    for i, _, lang in rows[:-1]:
+        assert not found[i]["base_failed"] and found[i]["outside"] == [] and found[i]["kept"], (lang, found[i])
+    assert not found[2_000_000]["kept"]
+
+
 def test_accepted_keeps_rows_and_columns(awkward):
     kept = fertility.accepted(awkward)
     assert kept.columns == awkward.columns
