@@ -151,6 +151,31 @@ def test_projections_match_plain(spark, monkeypatch, subgroup):
     assert projections.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dense", [False, True])
+def test_projections_in_dense_places(spark, dense):
+    """Embeddings that share a direction, with planted pairs; and one group of close vectors."""
+    random = np.random.default_rng(11)
+    n, size = (2500, 64) if not dense else (1500, 16)
+    shared = np.eye(size)[0] * (3.0 if not dense else 5.0)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    base = unit(shared + random.normal(size=(n, size)) / (np.sqrt(size) if not dense else 4.0))
+    other = random.normal(size=(n // 4, size))
+    first = base[: n // 4]
+    other = unit(other - (other * first).sum(axis=1, keepdims=True) * first)
+    table = np.concatenate([base, 0.981 * first + np.sqrt(1 - 0.981**2) * other])
+    alike = table @ table.T >= projections.LEAST
+    np.fill_diagonal(alike, False)
+    roots = plain.components([(int(a), int(b)) for a, b in np.argwhere(np.triu(alike))], range(len(table)))
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(table)]
+    found = projections.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {
+        i: (int(alike[i].sum()), roots[i]) for i in range(len(table))
+    }
+
+
 def test_projections_repeated_rows(spark):
     table = spark.createDataFrame(
         [(1, [1.0, 0.0], 0, "x"), (1, [1.0, 0.0], 0, "y"), (None, [1.0, 0.0], 0, None)],
