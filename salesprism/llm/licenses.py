@@ -5,6 +5,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesprism.llm.store import stored
@@ -43,6 +45,8 @@ TEMPLATES = {
 }
 #: Fixed value: a line with one of these words may be a notice.
 NOTICE = r"(?i)(?:licen[cs]|copyright|permission|warrant|redistribut|public domain|creative commons|\bCC[ 0-])"
+#: Fixed value: what the same words are as terms.
+NOTICE_TERM = r"licen[cs]|copyright|permission|warrant|redistribut|domain|commons|^cc0?$"
 #: Fixed value: names of licence files.
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense|notice)[^/]*$"
 LEAST = 0.6  # cosine from which a line is a template's notice
@@ -54,10 +58,13 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:\.[0-9]+)*"), F.lit(0))
 
 
-def _weights(words: DataFrame, idf: DataFrame) -> DataFrame:
-    """Sparse unit vectors of (item, term): TF-IDF weights, each divided by its item's length."""
+def _weights(words: DataFrame, idf: DataFrame, rarest: float) -> DataFrame:
+    """Sparse unit vectors of (item, term): TF-IDF weights, each divided by its item's length.
+    Terms of no line have the weight of the rarest."""
     counts = words.groupBy("item", "term").agg(F.count(F.lit(1)).alias("n"))
-    weighed = counts.join(idf, "term").withColumn("w", (1 + F.log(F.col("n").cast("double"))) * F.col("idf"))
+    weighed = counts.join(idf, "term", "left").withColumn(
+        "w", (1 + F.log(F.col("n").cast("double"))) * F.coalesce("idf", F.lit(rarest))
+    )
     norms = weighed.groupBy(F.col("item").alias("_item")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return weighed.join(norms, F.col("item") == F.col("_item")).select("item", "term", (F.col("w") / F.col("norm")).alias("w"))
 
@@ -67,8 +74,43 @@ def _templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "item string, license string, text string")
 
 
-def notices(files: DataFrame, least: float = LEAST) -> DataFrame:
-    """Best template of each distinct notice line in (row, text): (line, license, score).
+def _whole_templates(spark: SparkSession) -> DataFrame:
+    """All notices of a licence as one, where it has several."""
+    rows = [(f"{name}#all", name, " ".join(texts)) for name, texts in TEMPLATES.items() if len(texts) > 1]
+    return spark.createDataFrame(rows, "item string, license string, text string")
+
+
+def passages(files: DataFrame) -> DataFrame:
+    """What may be a notice in the texts of (_row, path, text), line breaks or not: windows of
+    each template's number of terms around a notice word, and for licence files all terms.
+    (_row, start, size, line), line being the terms with blanks between.
+
+    Windows start at every eighth of their size, so that one is off a notice by a sixteenth at most.
+    """
+    lengths = _templates(files.sparkSession).select(F.size(terms(F.col("text"))).alias("n")).distinct()
+    sizes = F.array(*[F.lit(r["n"]) for r in lengths.collect()])  # a fixed list
+    named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
+    split = files.select("_row", named.alias("_named"), terms(F.col("text")).alias("_terms"))
+    total = F.size("_terms")
+    around = split.select(
+        "_row", "_terms", total.alias("_n"),
+        F.explode(F.filter(F.transform("_terms", lambda t, k: F.when(t.rlike(NOTICE_TERM), k)), lambda k: k.isNotNull())).alias("_at"),
+    ).select("*", F.explode(sizes).alias("size"))
+    step = F.ceil(F.col("size") / 8)
+    # multiples of the step, and the last window of the text
+    first, last = F.greatest(F.lit(0), F.col("_at") - F.col("size") + 1), F.least(F.col("_at"), F.greatest(F.lit(0), F.col("_n") - F.col("size")))
+    starts = F.array_distinct(
+        F.concat(F.array(last), F.when(F.ceil(first / step) * step <= last, F.sequence(F.ceil(first / step) * step, last, step)).otherwise(F.array(first)))
+    )
+    windows = around.select("_row", "_terms", "size", F.explode(starts).alias("start")).dropDuplicates(["_row", "start", "size"])
+    whole = split.where(F.col("_named") & (total > 0)).select("_row", "_terms", total.alias("size"), F.lit(0).cast("bigint").alias("start"))
+    cut = F.slice("_terms", (F.col("start") + 1).cast("int"), F.col("size"))
+    return windows.unionByName(whole).select("_row", "start", F.size(cut).alias("size"), F.array_join(cut, " ").alias("line"))
+
+
+def notices(files: DataFrame, least: float = LEAST, more: DataFrame | None = None) -> DataFrame:
+    """Best template of each distinct notice line in (row, text), and of each line in ``more``:
+    (line, license, score).
 
     Lines are compared once however often they occur. The weight of a term falls with the
     number of distinct notice lines that have it, over the whole table and the templates.
@@ -81,12 +123,18 @@ def notices(files: DataFrame, least: float = LEAST) -> DataFrame:
     known = words.distinct().unionByName(model_words.distinct())
     total = lines.count() + models.count()
     idf = known.groupBy("term").agg(F.log(1 + F.lit(float(total)) / F.count(F.lit(1))).alias("idf"))
-    idf = stored(idf)
-    theirs = _weights(model_words, idf).join(models.select("item", "license"), "item").select(
+    idf, rarest = stored(idf), math.log(1 + total)
+    if more is not None:
+        extra = more.select("line").distinct().join(lines, "line", "left_anti")
+        words = words.unionByName(extra.select(F.col("line").alias("item"), F.explode(terms(F.col("line"))).alias("term")))
+    whole = _whole_templates(spark)
+    model_words = model_words.unionByName(whole.select("item", F.explode(terms(F.col("text"))).alias("term")))
+    models = models.unionByName(whole)
+    theirs = _weights(model_words, idf, rarest).join(models.select("item", "license"), "item").select(
         F.col("term").alias("_term"), F.col("item").alias("_template"), "license", F.col("w").alias("_w")
     )
     # the templates are a fixed list of a few hundred terms
-    met = _weights(words, idf).join(F.broadcast(theirs), F.col("term") == F.col("_term"))
+    met = _weights(words, idf, rarest).join(F.broadcast(theirs), F.col("term") == F.col("_term"))
     scores = met.groupBy("item", "_template", "license").agg(F.round(F.sum(F.col("w") * F.col("_w")), 9).alias("score"))
     best = scores.groupBy("item").agg(F.max(F.struct("score", "license")).alias("best"))
     return best.where(F.col("best.score") >= least).select(
@@ -110,8 +158,9 @@ def scanned(files: DataFrame, least: float = LEAST) -> DataFrame:
         files.select("path", "text", *others).where(F.col("text").rlike(NOTICE)).withColumn("_row", F.monotonically_increasing_id())
     )
     own_lines = with_notice.select("_row", F.explode(F.split("text", "\n")).alias("_line")).where(F.col("_line").rlike(NOTICE))
-    known = stored(notices(with_notice, least))
-    hits = (
+    own_passages = stored(passages(with_notice))
+    known = stored(notices(with_notice, least, own_passages))
+    of_lines = (
         own_lines.join(known, F.col("_line") == F.col("line"))
         .groupBy("_row")
         .agg(
@@ -119,6 +168,15 @@ def scanned(files: DataFrame, least: float = LEAST) -> DataFrame:
             F.sum(F.size(terms(F.col("_line")))).alias("_notice_words"),
         )
     )
+    covered = F.flatten(F.collect_set(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)))
+    of_passages = (
+        own_passages.join(known, "line")
+        .groupBy("_row")
+        .agg(F.max(F.struct("score", "license")).alias("_best"), F.size(F.array_distinct(covered)).cast("bigint").alias("_notice_words"))
+    )
+    hits = of_lines.unionByName(of_passages).groupBy("_row").agg(
+        F.max("_best").alias("_best"), F.max("_notice_words").alias("_notice_words")
+    )
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     whole = F.size(terms(F.col("text")))
     own = (

@@ -114,3 +114,19 @@ def test_op9_on_documents(spark, folder):
         own = {name for line in docs[r["doc_id"]].split("\n") for text, name in known.items() if line.strip() == text}
         assert (r["found"] in ("header", "licence file")) == bool(own)
         assert not own or r["license"] in own
+
+
+def test_notices_without_lines_of_their_own(spark):
+    long = " ".join(f"word{k}" for k in range(60))
+    header = licenses.TEMPLATES["Apache-2.0"][1].split()
+    rows = [
+        ("a/one_line.txt", f"{long} Released under the MIT License {long}"),
+        ("b/wrapped.py", "\n".join(" ".join(header[k : k + 3]) for k in range(0, len(header), 3)) + "\n" + long),
+        ("c/LICENSE", "\n".join(" ".join(licenses.TEMPLATES["Apache-2.0"]).split())),
+        ("c/code.py", long),
+        ("d/none.txt", f"{long} the warranty of this old car ran out {long}"),
+    ]
+    found = {r["path"]: r for r in licenses.scanned(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert [(found[p]["license"], found[p]["found"]) for p, _ in rows] == [
+        ("MIT", "header"), ("Apache-2.0", "header"), ("Apache-2.0", "licence file"), ("Apache-2.0", "inherited"), (None, "none")
+    ]
