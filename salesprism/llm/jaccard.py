@@ -45,19 +45,20 @@ def _hashed(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """Size and hash of each document's set: (doc_id, n_shingles, class)."""
+    """Size and hash of each document's set, and the hash of its text: (doc_id, text_hash,
+    n_shingles, class)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(len(s), h) for _, h, s in _hashed(batch.column("text").to_pylist())]
             sizes, classes = zip(*found) if found else ([], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())],
-                ["doc_id", "n_shingles", "class"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())],
+                ["doc_id", "text_hash", "n_shingles", "class"],
             )
 
-    picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return picked.mapInArrow(hashed, "doc_id bigint, n_shingles bigint, class bigint")
+    picked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return picked.mapInArrow(hashed, "doc_id bigint, text_hash bigint, n_shingles bigint, class bigint")
 
 
 def _frequency_code(counts: np.ndarray) -> np.ndarray:
@@ -360,15 +361,8 @@ def _between_members(
     return verified(pairs, sets, share).where("linked").select("a", "b")
 
 
-def joined(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """Component of every document of (doc_id, text): doc_id, n_shingles and component_id, the
-    least doc_id that links reach. Documents link when 100 * common >= share * union.
-
-    Equal sets are one class, known by the hash of its set, so copies are joined once. Null and
-    empty texts have an empty set, which links with nothing: component_id is their doc_id.
-    Repeated rows are one class; a null doc_id has a component but is never its least id,
-    unless all ids there are null. An empty table gives no rows; other columns are ignored.
-    """
+def _rooted(docs: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """``members``, and the root of each class of a set that isn't empty: (class, first, root)."""
     rows = stored(members(docs))
     classes = rows.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
@@ -380,7 +374,19 @@ def joined(docs: DataFrame, share: int = SHARE) -> DataFrame:
     known = classes.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
     )
-    known = stored(known)
+    return rows, stored(known)
+
+
+def joined(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """Component of every document of (doc_id, text): doc_id, n_shingles and component_id, the
+    least doc_id that links reach. Documents link when 100 * common >= share * union.
+
+    Equal sets are one class, known by the hash of its set, so copies are joined once. Null and
+    empty texts have an empty set, which links with nothing: component_id is their doc_id.
+    Repeated rows are one class; a null doc_id has a component but is never its least id,
+    unless all ids there are null. An empty table gives no rows; other columns are ignored.
+    """
+    rows, known = _rooted(docs, share)
     named = known.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = known.select(F.col("class").alias("_class"), "root").join(named, "root").select("_class", "component_id")
     met = rows.join(of_class, (F.col("class") == F.col("_class")) & (F.col("n_shingles") > 0), "left")
@@ -392,9 +398,17 @@ def joined(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
 def first_of_each(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """One document of each component of ``joined``, the one with its least doc_id, with all
-    columns of docs; equal rows count as one. Documents without words all stay."""
-    found = stored(joined(docs, share).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
-    first = found.distinct().select(F.col("doc_id").alias("_first"))
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    # only where an id stands twice can rows be equal
-    return kept if found.count() == first.count() else kept.dropDuplicates(["doc_id", "text"])
+    columns of docs; equal rows count as one. Documents without words all stay. Where an id
+    stands on several texts, each is judged by its own component."""
+    rows, known = _rooted(docs, share)
+    texts = rows.groupBy("doc_id", "text_hash", "n_shingles", "class").agg(F.count(F.lit(1)).alias("copies"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class", "text_hash", "copies")).alias("least")
+    chosen = texts.where("n_shingles > 0").join(known.select("class", "root"), "class").groupBy("root").agg(least)
+    empty = texts.where("n_shingles = 0").select("doc_id", "text_hash", "copies")
+    first = stored(chosen.select("least.doc_id", "least.text_hash", "least.copies").unionByName(empty))
+    kept = docs.join(
+        first.select(F.col("doc_id").alias("_first"), F.col("text_hash").alias("_text")),
+        F.col("doc_id").eqNullSafe(F.col("_first")) & (F.xxhash64("text") == F.col("_text")), "left_semi",
+    )
+    # only where a row stands twice can kept rows be equal
+    return kept.dropDuplicates(["doc_id", "text"]) if first.where("copies > 1").count() else kept

@@ -105,6 +105,18 @@ def test_jaccard_awkward(awkward, nothing):
     assert jaccard.joined(nothing).count() == 0
 
 
+def test_ids_on_two_texts(spark):
+    """Each text of id 5 by its own component: one is first of its group, the others are copies or alone."""
+    one, two, three = (prose(120, seed) for seed in (71, 72, 73))
+
+    def near(text):
+        return text.replace(text.split()[60], "different", 1)
+
+    rows = [(1, one), (5, near(one)), (5, two), (6, near(two)), (5, three), (5, three), (5, ""), (None, near(three))]
+    kept = jaccard.first_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, one), (5, two), (5, three), (5, "")])
+
+
 def test_op6_on_documents(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries()["op6_adaptive_prefixes"](spark, small).collect()}
