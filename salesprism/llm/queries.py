@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import context_tree, fertility, jaccard, language, licenses, mixing, packing, pii, projections, token_codes
+from salesprism.llm import context_tree, fertility, jaccard, language, licenses, mixing, packing, pii, projections, spelling, token_codes, urls
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,6 +73,16 @@ def op10_pareto_mixture(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_grams(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.runs(documents(spark, folder), spoil=97)
+    return spelling.grouped(spelling.vocabulary(words))
+
+
+def op12_boosted_urls(spark: SparkSession, folder: str) -> DataFrame:
+    found = urls.judged(spark.read.parquet(f"{folder}/pages.parquet"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tokeniser_fertility": op1_tokeniser_fertility,
@@ -85,6 +95,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_addressable_codes": op8_addressable_codes,
         "op9_license_scan": op9_license_scan,
         "op10_pareto_mixture": op10_pareto_mixture,
+        "op11_spelling_grams": op11_spelling_grams,
+        "op12_boosted_urls": op12_boosted_urls,
     }
 
 
