@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesprism.llm import context_tree, fertility, jaccard, language, licenses, mixing, packing, pii, projections, spelling, token_codes, urls
+from salesprism.llm import context_tree, fertility, jaccard, language, licenses, mixing, oracles, packing, phrases, pii, projections, spelling, token_codes, urls
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,6 +83,11 @@ def op12_boosted_urls(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op13_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrases.top(phrases.collocations(documents(spark, folder)))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "n_left", "n_right")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_tokeniser_fertility": op1_tokeniser_fertility,
@@ -97,8 +102,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_pareto_mixture": op10_pareto_mixture,
         "op11_spelling_grams": op11_spelling_grams,
         "op12_boosted_urls": op12_boosted_urls,
+        "op13_phrase_index": op13_phrase_index,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op11_spelling_grams": oracles.SPELLING,
+        "op13_phrase_index": oracles.PHRASES,
+    }

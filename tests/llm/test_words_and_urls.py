@@ -190,3 +190,9 @@ def test_labels_of_one_verdict_or_none(spark):
 def test_url_query_plan_has_no_python(spark, small):
     plan = queries.queries()["op12_boosted_urls"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_spelling_query_is_its_oracle(spark, folder, duck):
+    from oracle import compare
+
+    assert compare(queries.queries()["op11_spelling_grams"](spark, folder), duck, queries.oracle_sql()["op11_spelling_grams"]) > 10_000
