@@ -10,7 +10,7 @@ PIECE = 1 << 18  # bytes hashed at once; longer words are hashed whole
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_SPREAD = np.uint64(0xBF58476D1CE4E5B9)
 _PLACE = _RANDOM.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -25,29 +25,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-class _Powers:
-    def __init__(self) -> None:
-        self.ahead = self.back = np.ones(1, dtype=np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.ahead):
-            self.ahead, self.back = (
-                np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, step)]))
-                for step in (_STEP, _BACK)
-            )
-        return self.ahead[:n], self.back[:n]
-
-
-def _powers() -> _Powers:
-    if not hasattr(_powers, "kept"):
-        _powers.kept = _Powers()
-    return _powers.kept
-
-
 def word_spans(data: bytes, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every word (run of bytes that are not ``blank``), where it begins and ends.
 
-    A word's hash is a polynomial of its bytes modulo 2^64, as a difference of running sums.
+    A word's hash is the sum of one number for each byte, mixed from the byte and its place in the word. Sums
+    of plain products would not do: some words have equal polynomials modulo 2^64 whatever the base is.
     """
     hashes, begins, ends, at = [], [], [], 0
     while at < len(data):
@@ -59,10 +41,20 @@ def word_spans(data: bytes, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.
         inside = ~blank[letters]
         edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
         begin, stop = edges[::2], edges[1::2]
-        ahead, back = _powers().upto(len(letters) + 1)
+        # the place of each byte in its word; what blanks get is left out of all sums
+        place = np.arange(len(letters), dtype=np.uint64)
+        starts = np.zeros(len(letters), dtype=np.uint64)
+        starts[begin] = place[begin]
+        np.maximum.accumulate(starts, out=starts)
+        place -= starts
+        place *= _STEP
+        place += _BYTE[letters]
+        place ^= place >> np.uint64(29)
+        place *= _SPREAD
+        place ^= place >> np.uint64(32)
         sums = np.zeros(len(letters) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[letters] * ahead[:-1], out=sums[1:])
-        hashes.append(mixed((sums[stop] - sums[begin]) * back[begin]))
+        np.cumsum(place, out=sums[1:])
+        hashes.append(mixed(sums[stop] - sums[begin]))
         begins.append(begin + at)
         ends.append(stop + at)
         at = end

@@ -221,3 +221,20 @@ def test_pipeline(spark, small, small_docs):
     total = sum(len(x) // 4 + 1 for x in packed_ids("byte_bpe_50k.json", [r["text"] for r in docs.collect()]))
     assert sum(r["length"] for r in pieces) == total
     assert corpus_pipeline.run(spark, small).columns == list(pieces[0].asDict())
+
+
+def test_words_with_equal_polynomials_stay_apart(spark):
+    """Two words whose byte polynomials are equal modulo 2^64 for every base: the Thue-Morse word and its complement."""
+    from salesprism.llm import shingles, tokens
+
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    assert len(a) == 1024 and len(set(shingles.word_hashes(f"{a} {b}".encode())[0].tolist())) == 2
+    one, two = shingles.shingle_sets([a, b])
+    assert set(one.tolist()).isdisjoint(two.tolist())
+    for name, ids in (("byte_bpe_50k.json", tokens.byte_level_ids), ("word_bpe_49k.json", tokens.word_level_ids)):
+        made = tokens.tokenizer(name)
+        texts = [f"x {a}", f"x {b}", a, b]
+        expected = [np.array(made.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        assert ids(name, texts) == expected
