@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from salesprism.functions.exact import money_sum, safe_divide, units
+from salesprism.session import materialised
 
 CANCELLED = "Cancelled"
 # fixed values: the two statuses that count as delivered in the measures
@@ -240,20 +241,19 @@ def time_intelligence(
         .groupBy(*by, month)
         .agg(money_sum("amount_cents").alias("cents"))
     )
+    # the months are few; written once, so that their ends and cells come from one scan of the lines
+    found = materialised(found)
     ends = found.agg(
         F.sequence(F.min("month_start"), F.max("month_start"), F.expr("interval 1 month"))
     ).scalar()
-    keys = found.select(*by).distinct() if by else found.groupBy().agg(F.lit(0).alias("_all")).drop("_all")
-    spine = keys.withColumn("_months", ends).select(*by, F.explode("_months").alias("month_start"))
-    same = F.col("month_start") == F.col("_month")
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    renamed = found.withColumnsRenamed({"month_start": "_month", **{k: f"_{k}" for k in by}})
-    filled = spine.join(renamed, same, "left").select(
+    # a key's cells meet in one map, as large as the calendar, and are stretched over the common span
+    known = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("month_start", "cents"))).alias("_cells"))
+    spine = known.withColumn("_months", ends).select(*by, "_cells", F.explode("_months").alias("month_start"))
+    filled = spine.select(
         *by,
         "month_start",
         F.year("month_start").alias("year"),
-        F.coalesce("cents", F.lit(0).cast("decimal(29,0)")).alias("cents"),
+        F.coalesce(F.try_element_at("_cells", F.col("month_start")), F.lit(0).cast("decimal(29,0)")).alias("cents"),
     )
     by_month = Window.partitionBy(*by).orderBy("month_start")
     to_date = (

@@ -13,15 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from salesprism.functions.exact import floor_div
+from salesprism.operators.windows import global_row_number
 
 BUCKET_BITS = 20
 BUCKET = 1 << BUCKET_BITS
 
 Fraction = tuple[int, int]
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def value_ranks(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
@@ -107,6 +109,46 @@ def scaled_quantiles(
     )
 
 
+def quantile_sketches(df: DataFrame, value: str, group: Sequence[str] = (), k: int = 800) -> DataFrame:
+    """A KLL sketch of the value per group, as (group, sketch): a few kilobytes that merge with others.
+
+    For tables on which counting every value is too much. With ``k`` of 800 a quantile's rank is
+    off by at most ``sketch_rank_error(k)`` of the rows, with 99 % confidence; ``scaled_quantiles``
+    is exact and stays the default everywhere.
+    """
+    return df.groupBy(*group).agg(F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), F.lit(k)).alias("sketch"))
+
+
+def sketch_rank_error(k: int = 800) -> float:
+    """The published bound on a KLL sketch's normalised rank error, at 99 % confidence."""
+    return 2.296 / k**0.9723
+
+
+def merged_sketches(sketches: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """Sketches of fewer groups out of stored ones, without the rows."""
+    return sketches.groupBy(*group).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+
+
+def quantiles_of_sketches(sketches: DataFrame, fractions: dict[str, Fraction]) -> DataFrame:
+    """The quantiles of each sketch, times their denominators as in ``scaled_quantiles``; null for a sketch of nothing."""
+    others = [c for c in sketches.columns if c != "sketch"]
+    filled = F.coalesce(F.kll_sketch_get_n_bigint("sketch"), F.lit(0)) > 0
+    return sketches.select(*others, *[
+        (F.when(filled, F.kll_sketch_get_quantile_bigint("sketch", F.lit(top / bottom))) * bottom).cast("bigint").alias(name)
+        for name, (top, bottom) in fractions.items()
+    ])
+
+
+def approximate_tiles(df: DataFrame, value: str, tiles: int, output: str = "tile", k: int = 800) -> DataFrame:
+    """Equal-count tiles on a sketch's cut points, right closed; ties share a tile. One scan, no shuffle of values."""
+    cuts = quantiles_of_sketches(quantile_sketches(df, value, (), k), {f"e{i}": (i, tiles) for i in range(1, tiles)})
+    packed = cuts.select(F.array(*[F.col(f"e{i}") for i in range(1, tiles)])).scalar()
+    above = F.size(F.filter("_edges", lambda edge: F.col(value) * tiles > edge))
+    return df.withColumn("_edges", packed).withColumn(
+        output, F.when(F.col(value).isNotNull(), (above + 1).cast("int"))
+    ).drop("_edges")
+
+
 def quantile_bins(
     df: DataFrame, value: str, bins: int, output: str, source: DataFrame | None = None
 ) -> DataFrame:
@@ -154,7 +196,9 @@ def cut_by_rank(
     Only the rows at the cuts are looked up: first the value that holds each cut,
     then, where a cut splits equal values, the ``tie`` at that place. Every row then
     compares itself with the cuts, so the table itself is not shuffled or sorted.
-    ``tie`` must be a unique integer.
+    ``tie`` must be unique. Where it is an integer, its places are counted in buckets; for other
+    kinds the rows that share a cut value are dealt to ranges of (``value``, ``tie``) and numbered by
+    the ranges' offsets.
     """
     ranks = value_ranks(df, value)
     cut_ranks = ends(F.col("total"))
@@ -182,9 +226,28 @@ def cut_by_rank(
         .filter(F.array_contains("_split", F.col(value)))
         .select(value, tie)
     )
+    if isinstance(df.schema[tie].dataType, _WHOLE):
+        tie_cuts = _counted_ties(tied, value, tie, cuts, len(cut_ranks))
+    else:
+        tie_cuts = _ordered_ties(tied, value, tie, cuts, len(cut_ranks))
+
+    rows = df.withColumn("_cuts", cuts.scalar()).withColumn("_ties", tie_cuts.scalar())
+    piece = F.lit(1)
+    for i in range(len(cut_ranks)):
+        cut = F.col("_cuts")[i]
+        beyond = (F.col(value) > cut["value"]) | (
+            (F.col(value) == cut["value"]) & (F.col(tie) > F.col("_ties")[i])
+        )
+        piece = piece + F.when(beyond, 1).otherwise(0)
+    filled = F.when(F.col(value).isNotNull(), piece.cast("int"))
+    return rows.withColumn(output, filled).drop("_cuts", "_ties")
+
+
+def _counted_ties(tied: DataFrame, value: str, tie: str, cuts: DataFrame, n: int) -> DataFrame:
+    """One row: the integer tie at each cut that splits equal values, else null."""
     tie_ranks = value_ranks(tied, tie, [value]).withColumn("_cuts", cuts.scalar())
     places = []
-    for i in range(len(cut_ranks)):
+    for i in range(n):
         cut = F.col("_cuts")[i]
         here = (
             (F.col(value) == cut["value"])
@@ -193,18 +256,22 @@ def cut_by_rank(
             & (cut["place"] <= F.col("before") + F.col("n"))
         )
         places.append(F.max(F.when(here, F.col(tie))))
-    tie_cuts = tie_ranks.agg(F.array(*places))
+    return tie_ranks.agg(F.array(*places))
 
-    rows = df.withColumn("_cuts", cuts.scalar()).withColumn("_ties", tie_cuts.scalar())
-    piece = F.lit(1)
-    for i in range(len(cut_ranks)):
+
+def _ordered_ties(tied: DataFrame, value: str, tie: str, cuts: DataFrame, n: int) -> DataFrame:
+    """The same for ties of any ordered kind: rows are numbered in the order of (value, tie) over ranges, so
+    equal values spread over as many tasks as they need."""
+    numbered = global_row_number(tied, [value, tie], "_order")
+    # as many rows as cut values
+    begins = numbered.groupBy(value).agg(F.min("_order").alias("_begin")).select(F.col(value).alias("_v"), "_begin")
+    placed = numbered.join(F.broadcast(begins), F.col(value) == F.col("_v")).withColumn("_cuts", cuts.scalar())
+    places = []
+    for i in range(n):
         cut = F.col("_cuts")[i]
-        beyond = (F.col(value) > cut["value"]) | (
-            (F.col(value) == cut["value"]) & (F.col(tie) > F.col("_ties")[i])
-        )
-        piece = piece + F.when(beyond, 1).otherwise(0)
-    filled = F.when(F.col(value).isNotNull(), piece.cast("int"))
-    return rows.withColumn(output, filled).drop("_cuts", "_ties")
+        here = (F.col(value) == cut["value"]) & (cut["place"] < cut["n"]) & (F.col("_order") - F.col("_begin") + 1 == cut["place"])
+        places.append(F.max(F.when(here, F.col(tie))))
+    return placed.agg(F.array(*places))
 
 
 def ntile(df: DataFrame, value: str, tie: str, tiles: int, output: str = "tile") -> DataFrame:

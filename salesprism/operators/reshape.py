@@ -10,14 +10,15 @@ from pyspark.sql.window import Window
 from salesprism.functions.dates import MONTHS, WEEKDAYS, month_label, week_label
 from salesprism.functions.exact import floor_div, mean2, mean_cents, money_sum, percent2, units
 from salesprism.operators.aggregates import totals
+from salesprism.operators.cells import cells
 from salesprism.operators.windows import rolling_mean
 
 
 def revenue_matrix(lines: DataFrame, rows: str | Column, columns: str, values: Sequence[str]) -> DataFrame:
     """Revenue by row key and column key, 0 where nothing was sold. The column values
     are given, so the plan needs no pass to find them."""
-    cells = lines.groupBy(rows).pivot(columns, list(values)).agg(units(money_sum("amount_cents")))
-    return cells.fillna(0.0, subset=list(values))
+    matrix = lines.groupBy(rows).pivot(columns, list(values)).agg(units(money_sum("amount_cents")))
+    return matrix.fillna(0.0, subset=list(values))
 
 
 def category_month_matrix(lines: DataFrame) -> DataFrame:
@@ -117,16 +118,16 @@ def headline(lines: DataFrame) -> DataFrame:
     """Totals with the percent of lines whose status mentions delivery, mentions
     cancelling, and is exactly cancelled."""
     status = F.lower("status")
-    counted = lines.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("qty").alias("qty"),
-        money_sum("amount_cents").alias("cents"),
-        F.count_distinct("category").alias("categories"),
-        F.count_if(status.contains("deliver")).alias("delivered"),
-        F.count_if(status.contains("cancel")).alias("cancelled"),
-        F.count_if(F.col("status") == "Cancelled").alias("exactly_cancelled"),
-    )
+    counted = cells(
+        lines,
+        distinct={"orders": F.col("order_id"), "categories": F.col("category")},
+        counts={
+            "lines": F.lit(True), "delivered": status.contains("deliver"),
+            "cancelled": status.contains("cancel"), "exactly_cancelled": F.col("status") == "Cancelled",
+        },
+        sums={"qty": F.col("qty")},
+        money={"cents": F.col("amount_cents")},
+    ).totals()
     lines_ = F.col("lines")
     return counted.select(
         units("cents").alias("total_revenue"),

@@ -37,11 +37,7 @@ def rfm(lines: DataFrame) -> DataFrame:
 def scored(customers: DataFrame) -> DataFrame:
     """Scores by equal-count bins: recency and spend on values, so ties share a score;
     frequency on ranks with the customer as tie-break, so every score has its fifth."""
-    tie = "customer_id"
-    if dict(customers.dtypes)["customer_id"] == "string":
-        customers = customers.withColumn("_tie", F.xxhash64("customer_id"))
-        tie = "_tie"
-    binned = rank_bins(customers, "frequency", tie, SCORES, "f_score")
+    binned = rank_bins(customers, "frequency", "customer_id", SCORES, "f_score")
     binned = quantile_bins(binned, "recency", SCORES, "r_bin", source=customers)
     binned = quantile_bins(binned, "monetary_cents", SCORES, "m_score", source=customers)
     with_r = binned.withColumn("r_score", (SCORES + 1 - F.col("r_bin")).cast("int"))
@@ -50,7 +46,7 @@ def scored(customers: DataFrame) -> DataFrame:
             "rfm_score": F.col("r_score") + F.col("f_score") + F.col("m_score"),
             "rfm_segment": F.concat(*[F.col(c).cast("string") for c in ("r_score", "f_score", "m_score")]),
         }
-    ).drop("r_bin", "_tie")
+    ).drop("r_bin")
 
 
 def described(customers: DataFrame) -> DataFrame:

@@ -7,17 +7,14 @@ not scale, so values differ from it and the best k can too.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from salesprism.functions.exact import mean2, money_sum, percent2, ratio2, units
+from salesprism.operators.kmeans import Run, sampled_points, silhouettes, starts, together
 from salesprism.operators.scaling import Standardiser
 from salesprism.session import materialised
 
@@ -30,63 +27,42 @@ SEGMENT_NAMES = (
 RESTARTS = 10
 SEED = 42
 MAX_ITERATIONS = 300  # a safeguard: runs end by their tolerance
-_PARALLEL_FITS = 8
 
 
 def vectors(customers: DataFrame) -> DataFrame:
-    """Customers with their standardised measures as a vector.
-
-    Written once and kept in memory where it fits: many fits read it, each planned
-    from a plain scan.
-    """
+    """Customers with their standardised measures as ``features``, written once: many passes read it."""
     customers = materialised(customers)
     scaler = Standardiser.fit(customers, MEASURED)
-    scaled = scaler.transform(customers)
-    assembled = VectorAssembler(inputCols=scaler.outputs(), outputCol="features").transform(scaled)
-    return assembled.drop(*scaler.outputs()).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _run(points: DataFrame, k: int, seed: int) -> KMeansModel:
-    learner = KMeans(
-        k=k, seed=seed, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster"
-    )
-    return learner.fit(points)
+    scaled = scaler.transform(customers).withColumn("features", F.array(*scaler.outputs()))
+    return materialised(scaled.drop(*scaler.outputs()))
 
 
 def fit_many(
     points: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = SEED
-) -> dict[int, KMeansModel]:
-    """Per k the best of several k-means runs by training cost; runs go side by side."""
-    runs = [(k, seed + i) for k in ks for i in range(restarts)]
-    with ThreadPool(_PARALLEL_FITS) as pool:
-        models = pool.starmap(lambda k, s: (k, _run(points, k, s)), runs)
-    best: dict[int, KMeansModel] = {}
-    for k, model in models:
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
+) -> dict[int, Run]:
+    """Per k the best of several k-means runs by cost; all runs of all k go through the same scans."""
+    sample = sampled_points(points)
+    begun = [(k, own) for k in ks for own in starts(points, k, range(seed, seed + restarts), sample)]
+    runs, _ = together(points, [own for _, own in begun], limit=MAX_ITERATIONS)
+    best: dict[int, Run] = {}
+    for (k, _), run in zip(begun, runs, strict=True):
+        if k not in best or run.cost < best[k].cost:
+            best[k] = run
     return best
 
 
-def fit(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> KMeansModel:
+def fit(points: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> Run:
     return fit_many(points, [k], restarts, seed)[k]
 
 
-def silhouette(model: KMeansModel, points: DataFrame) -> float:
-    evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-    return evaluator.evaluate(model.transform(points))
-
-
 def elbow(
     points: DataFrame, ks: Iterable[int] = range(2, 9), restarts: int = RESTARTS
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Cost and silhouette per k, with the models."""
-    models = fit_many(points, ks, restarts)
-    rows = [
-        (k, float(model.summary.trainingCost), float(silhouette(model, points)))
-        for k, model in models.items()
-    ]
-    spark = points.sparkSession
-    return spark.createDataFrame(rows, "k int, cost double, silhouette double"), models
+) -> tuple[DataFrame, dict[int, Run]]:
+    """Cost and silhouette per k, with the runs."""
+    runs = fit_many(points, ks, restarts)
+    scores = silhouettes(points, list(runs.values()))
+    rows = [(k, run.cost, score) for (k, run), score in zip(runs.items(), scores, strict=True)]
+    return points.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double"), runs
 
 
 def best_k(curve: DataFrame) -> int:
@@ -94,8 +70,8 @@ def best_k(curve: DataFrame) -> int:
     return curve.orderBy(F.desc("silhouette"), "k").first()["k"]
 
 
-def clustered(model: KMeansModel, points: DataFrame) -> DataFrame:
-    return model.transform(points)
+def clustered(run: Run, points: DataFrame) -> DataFrame:
+    return points.withColumn("cluster", run.cluster(F.col("features")))
 
 
 def cluster_profile(assigned: DataFrame) -> DataFrame:
@@ -124,11 +100,11 @@ def segment_customers(scored: DataFrame, k: int | None = None) -> DataFrame:
     """Customers with cluster and segment name; without k the best silhouette decides."""
     points = vectors(scored)
     if k is None:
-        curve, models = elbow(points)
-        model = models[best_k(curve)]
+        curve, runs = elbow(points)
+        run = runs[best_k(curve)]
     else:
-        model = fit(points, k)
-    return labelled(clustered(model, points))
+        run = fit(points, k)
+    return labelled(clustered(run, points))
 
 
 def labelled(assigned: DataFrame) -> DataFrame:
@@ -149,7 +125,8 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
     )
     whole = F.sum("cents").over(Window.partitionBy())
     return grouped.select(
-        "segment", "customers", "avg_recency_days", "avg_frequency", "avg_monetary",
+        "segment", "customers", percent2(F.col("customers"), F.sum("customers").over(Window.partitionBy())).alias("customers_pct"),
+        "avg_recency_days", "avg_frequency", "avg_monetary",
         units("cents").alias("total_revenue"),
         percent2(F.col("cents"), whole).alias("revenue_share_pct"),
     ).orderBy(F.desc("total_revenue"), "segment")
@@ -158,7 +135,8 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
 def projection(segmented: DataFrame) -> tuple[DataFrame, PCAModel]:
     """Customers on the first two principal components; the model has the explained
     variance. The sign of a component is arbitrary."""
-    model = PCA(k=2, inputCol="features", outputCol="_pc").fit(segmented)
+    segmented = segmented.withColumn("_v", array_to_vector("features"))
+    model = PCA(k=2, inputCol="_v", outputCol="_pc").fit(segmented)
     placed = model.transform(segmented).withColumn("_xy", vector_to_array("_pc"))
     points = placed.select(
         "customer_id", "segment", F.col("_xy")[0].alias("pc1"), F.col("_xy")[1].alias("pc2")

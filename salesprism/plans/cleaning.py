@@ -85,7 +85,7 @@ def _raw(build):
 
 
 def _cleaned_profile(raw: DataFrame) -> DataFrame:
-    return q.profile(c.clean(raw)).drop("position", "dtype")
+    return q.profile(c.clean(raw)).drop("position")
 
 
 def _raw_profile(raw: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def _raw_profile(raw: DataFrame) -> DataFrame:
 
 
 def _missing(raw: DataFrame) -> DataFrame:
-    return q.missing_ranking(q.profile(c.standardise_names(raw)))
+    return q.null_counts(c.standardise_names(raw))
 
 
 def _duplicates(raw: DataFrame) -> DataFrame:
@@ -133,9 +133,16 @@ _RAW_NAMES = (
 )
 
 
+def _dtype(name: str) -> str:
+    """What the cleaned column is in Spark."""
+    kinds = dict.fromkeys(("qty", "year", "month", "quarter", "week"), "int")
+    kinds |= {"unit_price_cents": "bigint", "amount_cents": "bigint", "date": "date"}
+    return f"'{kinds.get(name, 'string')}'"
+
+
 def _profile_sql(table: str, names: tuple[str, ...], dtype: str) -> str:
     return " union all ".join(
-        f"select '{n}' as name, {dtype} count(\"{n}\") as non_null, "
+        f"select '{n}' as name, {dtype.format(dtype=_dtype(n))} count(\"{n}\") as non_null, "
         f'count(*)-count("{n}") as null_count, '
         f"""{sql_percent2(f'count(*)-count("{n}")', 'count(*)')} as null_pct, """
         f'count(distinct "{n}") as unique_values, '
@@ -156,7 +163,7 @@ CLEANING = [
     ),
     NamedQuery(
         "cleaned_profile", "Column profile after cleaning", _raw(_cleaned_profile), None,
-        CTES + _profile_sql("cleaned", _ALL, ""),
+        CTES + _profile_sql("cleaned", _ALL, "{dtype} as dtype,"),
     ),
     NamedQuery(
         "missing_ranking", "Columns with gaps", _raw(_missing), None,

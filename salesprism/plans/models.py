@@ -3,12 +3,19 @@ metrics operator is checked on a prediction that has one."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from salesprism.operators import forecast as fc, rfm as cust, segmentation as sg, series as ts
+from salesprism.operators import combined, forecast as fc, rfm as cust, segmentation as sg, series as ts
 from salesprism.operators.quantiles import box_stats
 from salesprism.plans.charts import _DAILY_COLUMNS, _RFM_COLUMNS, _feature_sql
+from salesprism.operators.runs import Run, latest
 from salesprism.plans.registry import NamedQuery
+from salesprism.session import table_folder
+
+
+_RUN_COLUMNS = tuple(dict.fromkeys((*_RFM_COLUMNS, *_DAILY_COLUMNS)))
 
 
 def _scored(lines: DataFrame) -> DataFrame:
@@ -72,6 +79,20 @@ def _forecast_kpis_total(lines: DataFrame) -> DataFrame:
     return fc.forecast_kpis(fc.recursive_forecast(data, best), compared)
 
 
+def _stored_run(lines: DataFrame) -> dict[str, DataFrame]:
+    """Segments, forecast and model comparison, written as one run and read back."""
+    spark = lines.sparkSession
+    folder = f"{table_folder(spark)}/runs-{uuid.uuid4().hex}"
+    run = Run(spark, folder)
+    run.write("segments", _segments(lines).drop("features"))
+    data = _panel(lines)
+    best, compared = _best(data, fc.train(data))
+    run.write("forecast", fc.history_and_forecast(data.days, fc.recursive_forecast(data, best)))
+    run.write("models", compared)
+    run.commit()
+    return latest(spark, folder, combined.TABLES)
+
+
 def _importance(lines: DataFrame) -> DataFrame:
     data = _panel(lines)
     return fc.feature_importance(data, fc.train(data, [fc.MODEL_NAMES[2]])[0])
@@ -113,6 +134,24 @@ MODELS = [
         "forecast_kpis", "Forecast totals per category", _forecast_kpis, (*_DAILY_COLUMNS, "category"),
     ),
     NamedQuery("forecast_kpis_total", "Forecast totals of all sales", _forecast_kpis_total, _DAILY_COLUMNS),
+    NamedQuery("combined_report", "Report over stored segments and forecast",
+               lambda lines: combined.combined_report(_stored_run(lines)), _RUN_COLUMNS),
+    NamedQuery(
+        "combined_report_checks", "What must hold of the stored segments and forecast",
+        lambda lines: combined.stored_checks(_stored_run(lines)), _RUN_COLUMNS,
+        "with sales as ({sales}), d as (select * from sales where status in "
+        "('Delivered', 'Shipped', 'Shipped - Delivered To Buyer')), "
+        "span as (select min(order_date) as a, max(order_date) as b from d) "
+        "select 'customers' as item, count(distinct customer_id) as value from d "
+        "union all select 'different_customers', count(distinct customer_id) from d "
+        "union all select 'revenue_cents', cast(sum(amount_cents) as bigint) from d "
+        "union all select 'customers_without_segment', 0 "
+        "union all select 'history_days', date_diff('day', a, b) + 1 from span "
+        "union all select 'forecast_days', 30 "
+        "union all select 'history_cents', cast(sum(amount_cents) as bigint) from d "
+        "union all select 'gap_days', 1 union all select 'days_ahead', 30 union all select 'outside_band', 0 "
+        "union all select 'models', 4 union all select 'best_models', 1",
+    ),
     NamedQuery("feature_importance", "Top features of the forest", _importance, _DAILY_COLUMNS),
     NamedQuery(
         "week_ago_metrics", "Error of the week-ago prediction", _week_ago, (*_DAILY_COLUMNS, "category"),

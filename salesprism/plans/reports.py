@@ -22,8 +22,8 @@ from salesprism.functions.exact import (
 )
 from salesprism.functions.text import grouped_number, rupees
 from salesprism.operators.aggregates import aov, revenue, share_of_total, totals
+from salesprism.operators.cells import Cells, cells
 from salesprism.operators.quantiles import tile_summary
-from salesprism.session import materialised
 
 UNKNOWN = "Unknown"  # fixed value: the text that stands for a missing place or courier
 
@@ -33,7 +33,11 @@ def _status_count(status: str):
 
 
 def overall_kpis(sales: DataFrame) -> DataFrame:
-    return totals_with_range(sales).select(
+    return _kpis(totals_with_range(sales))
+
+
+def _kpis(totals_: DataFrame) -> DataFrame:
+    return totals_.select(
         F.col("orders").alias("total_orders"),
         F.col("qty").alias("total_quantity_sold"),
         revenue().alias("total_revenue_inr"),
@@ -509,19 +513,19 @@ def _headline(sales: DataFrame) -> DataFrame:
     """All numbers of the executive summary in one pass over the lines."""
     known_state = F.when(F.col("ship_state") != UNKNOWN, F.col("ship_state"))
     known_city = F.when(F.col("ship_city") != UNKNOWN, F.col("ship_city"))
-    return sales.agg(
-        F.count(F.lit(1)).alias("lines"),
-        money_sum("amount_cents").alias("cents"),
-        money_sum(F.when(F.col("b2b") == "Yes", F.col("amount_cents")).otherwise(0)).alias("b2b_cents"),
-        F.sum("qty").alias("qty"),
-        F.count_if(F.lower("status").like("%deliver%")).alias("delivered"),
-        _status_count("Cancelled").alias("cancelled"),
-        _status_count("Returned").alias("returned"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("sku").alias("skus"),
-        F.count_distinct(known_state).alias("states"),
-        F.count_distinct(known_city).alias("cities"),
-    )
+    return cells(
+        sales,
+        distinct={"orders": F.col("order_id"), "skus": F.col("sku"), "states": known_state, "cities": known_city},
+        counts={
+            "lines": F.lit(True), "delivered": F.lower("status").like("%deliver%"),
+            "cancelled": F.col("status") == "Cancelled", "returned": F.col("status") == "Returned",
+        },
+        sums={"qty": F.col("qty")},
+        money={
+            "cents": F.col("amount_cents"),
+            "b2b_cents": F.when(F.col("b2b") == "Yes", F.col("amount_cents")).otherwise(0),
+        },
+    ).totals()
 
 
 def executive_summary(sales: DataFrame) -> DataFrame:
@@ -555,17 +559,11 @@ def metric_rows(one_row: DataFrame, metrics: dict, kind: str) -> DataFrame:
 
 def executive_report(sales: DataFrame) -> DataFrame:
     """Formatted headline rows with the best category and the best known state."""
-    cells = _category_state_cells(sales)
-    top_category = _best(cells, "category").select("category")
-    top_state = _best(_known_states(cells), "ship_state").select("ship_state")
-    numbers = sales.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("qty").alias("qty"),
-        money_sum("amount_cents").alias("cents"),
-        _status_count("Delivered").alias("delivered"),
-        _status_count("Cancelled").alias("cancelled"),
-    ).withColumns({"top_category": top_category.scalar(), "top_state": top_state.scalar()})
+    found = _category_state_cells(sales)
+    sums = found.sums("category", "ship_state")
+    top_category = _best(sums, "category").select("category")
+    top_state = _best(_known_states(sums), "ship_state").select("ship_state")
+    numbers = found.totals().withColumns({"top_category": top_category.scalar(), "top_state": top_state.scalar()})
     cancel_pct = percent2(F.col("cancelled"), F.col("lines")).cast("decimal(10,2)").cast("string")
     mean = mean_cents(F.col("cents"), F.col("lines"))
     metrics = {
@@ -581,26 +579,32 @@ def executive_report(sales: DataFrame) -> DataFrame:
     return metric_rows(numbers, metrics, "string")
 
 
-def _category_state_cells(sales: DataFrame) -> DataFrame:
-    """Additive numbers per category and state. Written once: the table is small, and
-    ranking it in several ways must not read the lines several times."""
-    return materialised(
-        sales.groupBy("category", "ship_state").agg(
-            F.count(F.lit(1)).alias("lines"),
-            money_sum("amount_cents").cast("decimal(38,0)").alias("cents"),
-            _status_count("Returned").alias("returned"),
-        )
-    )
+def _category_state_cells(sales: DataFrame) -> Cells:
+    """Sums per category and state with the bits of all orders, from one pass over the lines. Written
+    once: ranking them in several ways must not read the lines several times."""
+    return cells(
+        sales,
+        distinct={"orders": F.col("order_id")},
+        counts={
+            "lines": F.lit(True), "delivered": F.col("status") == "Delivered",
+            "cancelled": F.col("status") == "Cancelled", "returned": F.col("status") == "Returned",
+        },
+        sums={"qty": F.col("qty")},
+        money={"cents": F.col("amount_cents")},
+        least={"smallest": F.col("amount_cents")},
+        most={"largest": F.col("amount_cents")},
+        by=("category", "ship_state"),
+    ).stored()
 
 
-def _known_states(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("ship_state") != UNKNOWN)
+def _known_states(sums: DataFrame) -> DataFrame:
+    return sums.filter(F.col("ship_state") != UNKNOWN)
 
 
-def _best(cells: DataFrame, key: str) -> DataFrame:
+def _best(sums: DataFrame, key: str) -> DataFrame:
     """The key with the highest revenue, one row."""
     return (
-        cells.groupBy(key)
+        sums.groupBy(key)
         .agg(F.sum("cents").alias("cents"))
         .orderBy(F.desc("cents"), key)
         .limit(1)
@@ -634,19 +638,20 @@ def mean_return_rate(sales: DataFrame) -> DataFrame:
 
 def insights(sales: DataFrame) -> DataFrame:
     """Headline findings: totals, best category and state, highest return rate."""
-    cells = _category_state_cells(sales)
-    category = _best(cells, "category").select(F.struct("category", revenue().alias("r")))
-    state = _best(_known_states(cells), "ship_state").select(
+    kept = _category_state_cells(sales)
+    sums = kept.sums("category", "ship_state")
+    category = _best(sums, "category").select(F.struct("category", revenue().alias("r")))
+    state = _best(_known_states(sums), "ship_state").select(
         F.struct("ship_state", revenue().alias("r"))
     )
     worst = (
-        cells.groupBy("category")
+        sums.groupBy("category")
         .agg(percent2(F.sum("returned"), F.sum("lines")).alias("pct"))
         .orderBy(F.desc("pct"), "category")
         .limit(1)
         .select(F.struct("category", "pct"))
     )
-    found = overall_kpis(sales).withColumns(
+    found = _kpis(kept.totals()).withColumns(
         {"c": category.scalar(), "s": state.scalar(), "w": worst.scalar()}
     )
     return found.select(

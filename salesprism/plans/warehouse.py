@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesprism.functions.exact import money_sum, units
-from salesprism.operators import warehouse as w
+from salesprism.operators import incremental as inc, warehouse as w
 from salesprism.operators.aggregates import totals
 from salesprism.plans.registry import NamedQuery, sql_mean2, sql_percent2, sql_units
-from salesprism.session import materialised
+from salesprism.session import materialised, table_folder
 from salesprism.sources.sales import delivered_view, sales, sales_sql
 
 # fixed values: the days that the calendar covers at least
@@ -72,7 +73,7 @@ def _orders_flat(spark: SparkSession, folder: str) -> DataFrame:
 
 def _checks(spark: SparkSession, folder: str) -> DataFrame:
     staged = _staging_table(spark, folder)
-    return w.checks(
+    found = w.checks(
         w.fact_orders(staged),
         {
             "dim_date": (_dates(spark, folder), "date_key"),
@@ -81,6 +82,43 @@ def _checks(spark: SparkSession, folder: str) -> DataFrame:
             "dim_channel": (w.dim_channel(staged), "channel_key"),
         },
     )
+    lines = inc.repeated_keys(inc.with_line_keys(w.fact_orders(staged)))
+    return found.unionByName(lines.select(F.lit("fact_orders: repeated order_line_key").alias("check"), "violations"))
+
+
+def _fact_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return inc.with_line_keys(_fact(spark, folder))
+
+
+def _store(spark: SparkSession) -> inc.StarStore:
+    return inc.StarStore(spark, f"{table_folder(spark)}/star-{uuid.uuid4().hex}")
+
+
+def _loaded_in_parts(spark: SparkSession, folder: str) -> inc.StarStore:
+    """The star after a first load of all but the last year and a second load of that year, done twice."""
+    staged = _staging_table(spark, folder)
+    last = staged.agg(F.max(F.year("order_date"))).scalar()
+    rows = staged.withColumn("_late", F.coalesce(F.year("order_date") == last, F.lit(False)))
+    store = _store(spark)
+    store.load(rows.filter("not _late").drop("_late"))
+    for _ in range(2):
+        store.load(rows.filter("_late").drop("_late"))
+    return store
+
+
+def _incremental(spark: SparkSession, folder: str) -> DataFrame:
+    return _loaded_in_parts(spark, folder).summary()
+
+
+def _sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by category of the weekends in the first quarter of the last full year, from the stored star."""
+    staged = _staging_table(spark, folder)
+    store = _store(spark)
+    store.load(staged)
+    year = staged.agg(F.max(F.year("order_date")) - 1).first()[0] or START.year
+    days = w.calendar(spark, date(year, 1, 1), date(year, 12, 31)).filter("quarter = 1 and is_weekend")
+    joined = store.fact_in(days).join(store.table("dim_product"), "product_key")
+    return totals(joined, "category").select("category", "lines", "orders", "qty", units("cents").alias("revenue"))
 
 
 def _row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,6 +198,10 @@ _LOOKED_UP = (
     )
     + ")"
 )
+_FACT = (
+    "order_id", "date_key", "product_key", "location_key", "channel_key", "qty", "unit_price_cents", "amount_cents",
+    "status", "currency", "promotion_ids", "b2b",
+)
 _KPI = (
     "count(distinct order_id) as total_orders, cast(sum(qty) as bigint) as total_qty, "
     f"{sql_units('sum(amount_cents)')} as total_revenue, {sql_mean2()} as avg_order_value"
@@ -244,7 +286,27 @@ WAREHOUSE = [
             )
         )
         + " union all select 'dim_product: repeated sku', (select count(*) from "
-        "(select sku from dp group by sku having count(*) > 1))",
+        "(select sku from dp group by sku having count(*) > 1)) "
+        "union all select 'fact_orders: repeated order_line_key', cast(0 as bigint)",
+    ),
+    NamedQuery(
+        "fact_order_lines", "Fact table with a key for every line", _fact_lines, None,
+        f"{_SALES}, {_LOOKED_UP}, n as (select *, row_number() over (partition by {', '.join(_FACT)}) as copy from f) "
+        f"select {_key_sql((*_FACT, 'copy'))} as order_line_key, {', '.join(_FACT)} from n",
+    ),
+    NamedQuery(
+        "incremental_load", "Star loaded in parts, the last one twice", _incremental, None,
+        f"{_SALES}, {_LOOKED_UP} select 'fact_orders' as part, date_key//100 as month_key, count(*) as rows, "
+        "cast(sum(amount_cents) as bigint) as cents from f group by 2 "
+        + "".join(f"union all select '{n}', null, (select count(*) from {t}), null " for n, t in
+                  (("dim_product", "dp"), ("dim_location", "dl"), ("dim_channel", "dc"))),
+    ),
+    NamedQuery(
+        "sliced_star", "Weekend revenue of a quarter from the stored star", _sliced, None,
+        f"{_SALES} select category, count(*) as lines, count(distinct order_id) as orders, "
+        f"cast(sum(qty) as bigint) as qty, {sql_units('sum(amount_cents)')} as revenue from sales "
+        "where year(order_date) = (select max(year(order_date)) - 1 from sales) and quarter(order_date) = 1 "
+        "and isodow(order_date) >= 6 group by category",
     ),
     NamedQuery(
         "load_row_counts", "Rows per loaded table", _row_counts, None,

@@ -8,7 +8,7 @@ from salesprism.plans.catalogue import all_queries, export_reports
 WITHOUT_ORACLE = {
     "quality_report_text", "segment_elbow", "customer_segments", "segment_summary", "cluster_profile",
     "segment_points", "recency_box_by_segment", "model_comparison", "forecast_30_days", "forecast_by_category",
-    "forecast_kpis", "forecast_kpis_total", "feature_importance",
+    "forecast_kpis", "forecast_kpis_total", "feature_importance", "combined_report",
 }
 
 

@@ -115,3 +115,68 @@ def test_no_task_sees_all_rows_of_a_hot_value(spark):
     assert ranks.filter("v = 42").first()["n"] == 5001
     plan = ranks._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange SinglePartition") == 1
+
+
+def test_text_ties_are_cut_in_their_own_order(spark):
+    """A hundred thousand equal values and a few others: bins equal row_number over (value, text), whose ties spread over tasks."""
+    rows = spark.range(100_400).select(
+        F.when(F.col("id") < 100_000, 7).otherwise(F.col("id") % 5 + 5).alias("v"),
+        F.concat(F.lit("C-"), F.reverse(F.col("id").cast("string")), F.lit("é")).alias("name"),
+    )
+    ours = qt.rank_bins(rows, "v", "name", 5, "bin")
+    plain = ours.withColumn("place", F.row_number().over(Window.orderBy("v", "name"))).toPandas()
+    ranks = pd.Series(range(1, len(plain) + 1))
+    expected = (pd.qcut(ranks, 5, labels=False) + 1).tolist()
+    assert plain.sort_values("place")["bin"].tolist() == expected
+    tiles = qt.ntile(rows, "v", "name", 4).withColumn("own", F.ntile(4).over(Window.orderBy("v", "name")))
+    assert tiles.where("tile <> own").isEmpty()
+
+
+@pytest.mark.parametrize("values", [[], [3], [1, 1], [2, 2, 2, 2, 2, 2, 2], [1, 2, 2, 3, 3, 3, 3, 9], [None, 4, 4, None]])
+def test_text_ties_of_few_rows(spark, values):
+    rows = spark.createDataFrame([(v, f"c{i * 7 % 11}") for i, v in enumerate(values)], "v long, name string")
+    found = qt.ntile(rows, "v", "name", 3).where("v is not null").withColumn("own", F.ntile(3).over(Window.orderBy("v", "name"))).collect()
+    assert len(found) == sum(v is not None for v in values) and all(r["tile"] == r["own"] for r in found)
+
+
+def rank_error(values, found, q):
+    """How far the value's ranks are from the asked one, as a share of the rows."""
+    ordered = np.sort(values)
+    low, high = np.searchsorted(ordered, found, "left") / len(ordered), np.searchsorted(ordered, found, "right") / len(ordered)
+    return max(0.0, low - q, q - high)
+
+
+@pytest.mark.parametrize("kind", ["hot", "lognormal", "sorted"])
+def test_sketched_quantiles_stay_within_their_rank_error(spark, kind):
+    rng = np.random.default_rng(4)
+    values = {
+        "hot": np.where(rng.random(60_000) < 0.4, 7, rng.integers(0, 10**9, 60_000)),
+        "lognormal": np.exp(rng.normal(8, 3, 60_000)).astype(np.int64),
+        "sorted": np.arange(60_000) ** 2,
+    }[kind]
+    df = spark.createDataFrame(pd.DataFrame({"g": np.arange(60_000) % 3, "v": values})).repartition(7)
+    sketches = qt.quantile_sketches(df, "v", ["g"])
+    fractions = {"q1": (1, 4), "median": (1, 2), "q3": (3, 4), "p99": (99, 100)}
+    bound = qt.sketch_rank_error()
+    assert bound < 0.004
+    by_group = qt.quantiles_of_sketches(sketches, fractions).collect()
+    whole = qt.quantiles_of_sketches(qt.merged_sketches(sketches), fractions).collect()
+    assert len(by_group) == 3 and len(whole) == 1
+    for row in by_group:
+        own = values[np.arange(60_000) % 3 == row["g"]]
+        for name, (top, bottom) in fractions.items():
+            assert rank_error(own, row[name] / bottom, top / bottom) <= bound
+    for name, (top, bottom) in fractions.items():
+        assert rank_error(values, whole[0][name] / bottom, top / bottom) <= bound
+
+
+def test_tiles_on_sketches_are_nearly_equal_in_size(spark):
+    df = spark.range(50_000).select((F.col("id") * 7919 % 1_000_003).alias("v")).unionByName(spark.range(1).select(F.lit(None).cast("long").alias("v")))
+    sizes = {r["tile"]: r["count"] for r in qt.approximate_tiles(df, "v", 5).groupBy("tile").count().collect()}
+    assert sizes.pop(None) == 1 and sorted(sizes) == [1, 2, 3, 4, 5]
+    assert all(abs(n - 10_000) <= 2 * 50_000 * qt.sketch_rank_error() for n in sizes.values())
+
+
+def test_sketch_of_nothing_is_null(spark):
+    none = spark.createDataFrame([(None,)], "v long")
+    assert tuple(qt.quantiles_of_sketches(qt.quantile_sketches(none, "v"), {"m": (1, 2)}).first()) == (None,)
