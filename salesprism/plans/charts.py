@@ -33,9 +33,18 @@ _MEAN_CELL = (
 )
 
 
-def _categories(lines: DataFrame) -> list[str]:
-    """The categories in the data: the columns of a category matrix, one each."""
-    return [r[0] for r in lines.select("category").distinct().where("category is not null").orderBy("category").collect()]
+#: The name of the column for lines without a category, and the most columns of a matrix.
+BLANK = "(blank)"
+MOST_COLUMNS = 1000
+
+
+def _by_category(lines: DataFrame, matrix) -> DataFrame:
+    """The matrix with one column for each category in the data, and one for lines without a category where there are any."""
+    named = lines.fillna({"category": BLANK})
+    found = [r[0] for r in named.select("category").distinct().orderBy("category").limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"a matrix of more than {MOST_COLUMNS} categories is out of bounds")
+    return matrix(named, found)
 
 
 def _order_tiles(lines: DataFrame) -> DataFrame:
@@ -166,14 +175,14 @@ CHARTS = [
     ),
     NamedQuery(
         "month_category_matrix", "Month by category",
-        lambda lines: rs.month_category_matrix(lines, _categories(lines)),
+        lambda lines: _by_category(lines, rs.month_category_matrix),
         ("category", "order_date", "amount_cents"),
         f"{L} select strftime(order_date, '%Y-%m') as month, {_pivot_sql('category', CATEGORIES, _SUM_CELL)} "
         "from sales group by 1",
     ),
     NamedQuery(
         "state_category_matrix", "State by category",
-        lambda lines: rs.state_category_matrix(lines, _categories(lines)),
+        lambda lines: _by_category(lines, rs.state_category_matrix),
         ("category", "ship_state", "amount_cents"),
         f"{L} select ship_state, {_pivot_sql('category', CATEGORIES, _SUM_CELL)} from sales group by 1",
     ),

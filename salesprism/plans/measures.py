@@ -23,6 +23,8 @@ SLICED = m.FilterContext(
     sales_channel=("Online",),
     b2b=("No",),
 )
+#: Two values of the state slicer.
+STATES = ("NATION_3", "NATION_7")
 _DATES = "order_date between date '1996-01-15' and date '1999-06-30'"
 _CATS = "category in ('SMALL', 'LARGE', 'PROMO')"
 _STATUS = "status in ('Delivered', 'Shipped', 'Pending')"
@@ -239,4 +241,35 @@ MEASURE_QUERIES = [
         f"{_LINES} select sales_channel, {sql_units('sum(amount_cents)')} as total_revenue "
         f"from sales where {_LIVE} group by 1",
     ),
+    NamedQuery(
+        "month_name_trend", "Revenue and orders by month name without cancelled lines",
+        lambda lines: m.measure(lines, ["total_revenue", "total_orders"], ["month_name"]),
+        ("order_id", "status", "amount_cents", "qty", "month_name"),
+        f"{_LINES} select month_name, {sql_units(f'coalesce(sum(amount_cents) filter (where {_LIVE}), 0)')} as total_revenue, "
+        "count(distinct order_id) as total_orders from sales group by 1",
+    ),
+    NamedQuery(
+        "b2b_trend", "Business and consumer revenue by date",
+        lambda lines: m.measure(lines, ["b2b_revenue", "b2c_revenue"], ["order_date"]),
+        ("order_id", "order_date", "status", "amount_cents", "qty", "b2b"),
+        f"{_LINES}, c as (select order_date, "
+        f"sum(amount_cents) filter (where {_LIVE} and b2b = 'Yes') as x, sum(amount_cents) filter (where {_LIVE} and b2b = 'No') as y "
+        "from sales group by 1) select cast(order_date as varchar) as order_date, "
+        f"{sql_units('coalesce(x, 0)')} as b2b_revenue, {sql_units('coalesce(y, 0)')} as b2c_revenue from c "
+        "where x is not null or y is not null",
+    ),
+    NamedQuery(
+        "size_quantities", "Quantity of every size",
+        lambda lines: m.measure(lines, ["total_quantity_sold"], ["size"]),
+        ("order_id", "status", "amount_cents", "qty", "size"),
+        f"{_LINES} select size, cast(sum(qty) as bigint) as total_quantity_sold from sales group by 1",
+    ),
+    NamedQuery(
+        "measures_of_two_states", "All measures by category under the state slicer",
+        lambda lines: m.measure(lines, _ALL, ["category"], m.FilterContext(ship_state=STATES)), _COLUMNS,
+        f"{_LINES}, here as (select * from sales where ship_state in {STATES}), "
+        f"c as (select category, {_components_sql(_FREE)}, "
+        f"(select sum(amount_cents) from here where {_LIVE}) as all_categories from here group by category) "
+        f"select category, {_MEASURE_SQL} from c",
+    ),
 ]
