@@ -3,8 +3,8 @@
 A shard is a bounded part of one language's text as numbers of words. Its index is a
 depth-limited Burrows-Wheeler transform of the numbers and of their reverse, in which the interval of a phrase
 is extended by a word on its left or its right. Counts of shards are summed. Only what can still
-be frequent goes on: shards get back which of their own words, then which of their own word pairs, are frequent
-in all shards, so no list of all frequent ones has to fit anywhere.
+be frequent goes on: shards get back which of their own words, then which of their own word pairs, are
+frequent in all shards, so no list of all frequent ones has to fit anywhere.
 """
 
 from __future__ import annotations
@@ -46,6 +46,17 @@ _SHARDS_ARROW = pa.schema([
 ])
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed: their high bytes are mostly 0."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of shards: the first of a shard holds its words and their counts, the others its numbers."""
     task, closed, held = TaskContext.get().partitionId(), 0, 0
@@ -61,7 +72,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = [w for w, n in known.items() if n]
         yield pa.RecordBatch.from_pydict({"shard": [shard], "lang": [lang], "words": [words], "counts": [counts], "numbers": [None]}, _SHARDS_ARROW)
         for i in range(0, len(numbers), CHUNK):
-            part = numbers[i : i + CHUNK].astype("<i4").tobytes()
+            part = _packed(numbers[i : i + CHUNK])
             yield pa.RecordBatch.from_pydict({"shard": [shard], "lang": [lang], "words": [None], "counts": [None], "numbers": [part]}, _SHARDS_ARROW)
 
     for batch in batches:
@@ -132,36 +143,44 @@ class BothWays:
 
 
 def _known(numbers: pa.Table, known: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A shard's numbers with frequent words numbered anew from 1 and all others 0; ids by new number; frequent pairs."""
-    whole = np.frombuffer(b"".join(numbers["numbers"].to_pylist()), dtype="<i4")
+    """A shard's numbers with frequent words numbered anew from 1 and all others 0; ids by new number; frequent
+    pairs in new numbers, one to a column."""
+    whole = np.concatenate([_unpacked(part) for part in numbers["numbers"].to_pylist()])
     one, two, pair = (known[c].to_numpy() for c in ("one", "two", "pair"))
     local, ids = one[~pair], two[~pair]
-    new = np.zeros(int(max(whole.max(initial=0), local.max(initial=0))) + 1, dtype=np.int64)
     order = np.argsort(ids)
-    new[local[order]] = np.arange(1, len(order) + 1)
     ids = ids[order]
-    pairs = np.stack([np.searchsorted(ids, one[pair]) + 1, np.searchsorted(ids, two[pair]) + 1])
-    return new[whole], ids, pairs
+    new = np.zeros(int(max(whole.max(initial=0), local.max(initial=0))) + 1, dtype=np.int64)
+    new[local[order]] = np.arange(1, len(order) + 1)
+    return new[whole], ids, np.searchsorted(ids, np.array([one[pair], two[pair]])) + 1
+
+
+def _linked(text: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Whether the word at each place and the next one are one of the pairs."""
+    width = int(max(text.max(initial=0), pairs.max(initial=0))) + 1
+    codes, own = np.sort(pairs[0] * width + pairs[1]), text[:-1] * width + text[1:]
+    if not len(codes):
+        return np.zeros(len(own), dtype=bool)
+    return codes[np.minimum(np.searchsorted(codes, own), len(codes) - 1)] == own
 
 
-def _joined_runs(numbers: np.ndarray, linked: np.ndarray, least: int) -> np.ndarray:
-    """The numbers in runs of ``least`` or more, each closed by 0; linked: whether a run goes on from a number to the next."""
-    linked = linked & (numbers[:-1] > 0) & (numbers[1:] > 0)
+def _runs(text: np.ndarray, linked: np.ndarray, least: int) -> np.ndarray:
+    """The text's runs of ``least`` or more words, each closed by 0; linked: whether a run goes on from the word at
+    each place to the next one."""
     bounds = np.flatnonzero(np.concatenate([[True], ~linked, [True]]))
-    length = np.diff(bounds)
-    long_ = (length >= least) & (numbers[bounds[:-1]] > 0)
-    kept = np.repeat(long_, length)
-    last = np.zeros(len(numbers), dtype=bool)
-    last[bounds[1:] - 1] = True
-    copies = np.where(kept, 1 + last, 0)
-    out = np.repeat(numbers, copies)
-    ends = np.cumsum(copies)[kept & last] - 1
+    begin, length = bounds[:-1], np.diff(bounds) + 1
+    kept = (length > least) & (text[begin] > 0)
+    begin, length = begin[kept], length[kept]
+    at = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    ends = np.cumsum(length) - 1
+    at[ends] = 0
+    out = text[at] if len(at) else text[:0]
     out[ends] = 0
     return out
 
 
 _PAIRS = pa.schema([("shard", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("c", pa.int64())])
-_MORE = pa.schema([("phrase", pa.list_(pa.int64())), ("c", pa.int64())])
+_LONGER = pa.schema([("one", pa.int64()), ("two", pa.int64()), ("three", pa.int64()), ("four", pa.int64()), ("c", pa.int64())])
 
 
 def _pairs(numbers: pa.Table, known: pa.Table) -> pa.Table:
@@ -169,7 +188,7 @@ def _pairs(numbers: pa.Table, known: pa.Table) -> pa.Table:
     if not len(numbers) or not len(known):
         return _PAIRS.empty_table()
     text, ids, _ = _known(numbers, known)
-    text = _joined_runs(text, np.ones(len(text) - 1, dtype=bool), 2)
+    text = _runs(text, (text[:-1] > 0) & (text[1:] > 0), 2)
     if not len(text):
         return _PAIRS.empty_table()
     index = Index(text, 2)
@@ -181,23 +200,17 @@ def _pairs(numbers: pa.Table, known: pa.Table) -> pa.Table:
 def _longer(numbers: pa.Table, known: pa.Table) -> pa.Table:
     """Counts of a shard's phrases of three and four words all of whose pairs are frequent."""
     if not len(numbers) or not len(known):
-        return _MORE.empty_table()
+        return _LONGER.empty_table()
     text, ids, pairs = _known(numbers, known)
-    width = len(ids) + 1
-    codes = np.sort(pairs[0] * width + pairs[1])
-    own = text[:-1] * width + text[1:]
-    at = np.searchsorted(codes, own)
-    linked = codes[np.minimum(at, len(codes) - 1)] == own if len(codes) else np.zeros(len(own), dtype=bool)
-    text = _joined_runs(text, linked, 3)
+    text = _runs(text, _linked(text, pairs), 3)
     if not len(text):
-        return _MORE.empty_table()
+        return _LONGER.empty_table()
     index = BothWays(text, LONGEST)
     three = index.left(*index.left(*index.single))
-    four = index.right(*three)
-    found = [ids[p - 1] for p, *_ in (three, four)]
-    sizes = np.concatenate([np.full(len(p), p.shape[1]) for p in found])
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([p.ravel() for p in found]), pa.int64()))
-    return pa.table([lists, np.concatenate([three[3], four[3]])], schema=_MORE)
+    tables = [pa.table([*ids[three[0].T - 1], pa.nulls(len(three[0]), pa.int64()), three[3]], schema=_LONGER)]
+    found, _, _, count = index.right(*three)
+    tables.append(pa.table([*ids[found.T - 1], count], schema=_LONGER))
+    return pa.concat_tables(tables)
 
 
 def counted(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -209,23 +222,29 @@ def counted(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame,
     words = heads.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "own"))
     words = words.select("shard", "lang", (F.col("pos") + 1).cast("bigint").alias("local"), F.col("own.words").alias("word"), F.col("own.counts").alias("c"))
     sizes = heads.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, c: a + c)).alias("n"))
-    common = words.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    common = stored(common.withColumn("id", F.monotonically_increasing_id()))
+    # what is summed over shards stays beside each shard's own row, in the one shuffle of the rows
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    same = Window.partitionBy("lang", "word")
+    placed = words.repartition(parts, "lang", "word").withColumn("_row", F.monotonically_increasing_id())
+    placed = placed.withColumn("f", F.sum("c").over(same)).withColumn("id", F.min("_row").over(same))
+    placed = stored(placed.where(F.col("f") >= least).select("shard", "local", "lang", "word", "id", "f"))
+    common = stored(placed.groupBy("lang", "word").agg(F.min("id").alias("id"), F.min("f").alias("f")))
 
     numbers = shards.where("numbers is not null").select("shard", "numbers")
-    own = words.join(common.select("lang", "word", "id"), ["lang", "word"])
-    own = stored(own.select("shard", F.col("local").alias("one"), F.col("id").alias("two"), F.lit(False).alias("pair")))
+    own = placed.select("shard", F.col("local").alias("one"), F.col("id").alias("two"), F.lit(False).alias("pair"))
     pairs = numbers.groupBy("shard").cogroup(own.groupBy("shard")).applyInArrow(_pairs, "shard long, one long, two long, c long")
-    # dealt once, summed and then met again at the same place
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pairs.repartition(parts, "one", "two")
-    sums = dealt.groupBy("one", "two").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    frequent = stored(dealt.drop("c").join(sums.hint("shuffle_hash"), ["one", "two"]))
+    summed = pairs.withColumn("f", F.sum("c").over(Window.partitionBy("one", "two")))
+    frequent = stored(summed.where(F.col("f") >= least).select("shard", "one", "two", "f"))
     known = own.unionByName(frequent.select("shard", "one", "two", F.lit(True).alias("pair")))
-    longer = numbers.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_longer, "phrase array<bigint>, c long")
-    longer = longer.groupBy("phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    two = frequent.groupBy("one", "two").agg(F.max("f").alias("f")).select(F.array("one", "two").alias("phrase"), "f")
-    phrases = common.select(F.array("id").alias("phrase"), "f").unionByName(two).unionByName(longer)
+    ids = ["one", "two", "three", "four"]
+    longer = numbers.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_longer, "one long, two long, three long, four long, c long")
+    longer = longer.groupBy(*ids).agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+    two = frequent.groupBy("one", "two").agg(F.max("f").alias("f"))
+    phrases = (
+        common.select(F.array("id").alias("phrase"), "f")
+        .unionByName(two.select(F.array("one", "two").alias("phrase"), "f"))
+        .unionByName(longer.select(F.array_compact(F.array(*ids)).alias("phrase"), "f"))
+    )
     return common, stored(phrases), sizes
 
 
