@@ -49,6 +49,7 @@ NOTICE = r"(?i)(?:licen[cs]|copyright|permission|warrant|redistribut|public doma
 NOTICE_TERM = r"licen[cs]|copyright|permission|warrant|redistribut|domain|commons|^cc0?$"
 #: Fixed value: names of licence files.
 LICENCE_FILE = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense|notice)[^/]*$"
+_SIZES = 1 << 16  # more than any template has terms
 LEAST = 0.6  # cosine from which a line is a template's notice
 FILE_SHARE = 0.5  # share of a file's words in notices that makes it a licence file
 
@@ -91,21 +92,27 @@ def passages(files: DataFrame) -> DataFrame:
     sizes = F.array(*[F.lit(r["n"]) for r in lengths.collect()])  # a fixed list
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     split = files.select("_row", named.alias("_named"), terms(F.col("text")).alias("_terms"))
-    total = F.size("_terms")
-    around = split.select(
-        "_row", "_terms", total.alias("_n"),
-        F.explode(F.filter(F.transform("_terms", lambda t, k: F.when(t.rlike(NOTICE_TERM), k)), lambda k: k.isNotNull())).alias("_at"),
-    ).select("*", F.explode(sizes).alias("size"))
-    step = F.ceil(F.col("size") / 8)
-    # multiples of the step, and the last window of the text
-    first, last = F.greatest(F.lit(0), F.col("_at") - F.col("size") + 1), F.least(F.col("_at"), F.greatest(F.lit(0), F.col("_n") - F.col("size")))
-    starts = F.array_distinct(
-        F.concat(F.array(last), F.when(F.ceil(first / step) * step <= last, F.sequence(F.ceil(first / step) * step, last, step)).otherwise(F.array(first)))
-    )
-    windows = around.select("_row", "_terms", "size", F.explode(starts).alias("start")).dropDuplicates(["_row", "start", "size"])
-    whole = split.where(F.col("_named") & (total > 0)).select("_row", "_terms", total.alias("size"), F.lit(0).cast("bigint").alias("start"))
-    cut = F.slice("_terms", (F.col("start") + 1).cast("int"), F.col("size"))
-    return windows.unionByName(whole).select("_row", "start", F.size(cut).alias("size"), F.array_join(cut, " ").alias("line"))
+    split = split.select("*", F.filter(F.transform("_terms", lambda t, k: F.when(t.rlike(NOTICE_TERM), k)), lambda k: k.isNotNull()).alias("_at"))
+
+    def starts(at: Column, size: Column) -> Column:
+        """Multiples of the step around a notice word, and the text's last window, each with its size in one number."""
+        step = F.ceil(size / 8)
+        first = F.greatest(F.lit(0), at - size + 1)
+        last = F.least(at, F.greatest(F.lit(0), F.size("_terms") - size))
+        begin = F.ceil(first / step) * step
+        found = F.concat(F.array(last), F.when(begin <= last, F.sequence(begin, last, step)).otherwise(F.array(first)))
+        return F.transform(found, lambda start: start.cast("bigint") * _SIZES + size)
+
+    # told apart inside the row, so that no text is carried into a shuffle
+    windows = F.array_distinct(F.flatten(F.transform("_at", lambda at: F.flatten(F.transform(sizes, lambda size: starts(at, size))))))
+    whole = F.when(F.col("_named") & (F.size("_terms") > 0), F.array(F.lit(-1).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+
+    def passage(code: Column) -> Column:
+        start = F.when(code < 0, F.lit(0).cast("bigint")).otherwise(F.floor(code / _SIZES))
+        cut = F.slice("_terms", (start + 1).cast("int"), F.when(code < 0, F.size("_terms")).otherwise((code % _SIZES).cast("int")))
+        return F.struct(start.alias("start"), F.size(cut).alias("size"), F.array_join(cut, " ").alias("line"))
+
+    return split.select("_row", F.inline(F.transform(F.concat(windows, whole), passage)))
 
 
 def notices(files: DataFrame, least: float = LEAST, more: DataFrame | None = None) -> DataFrame:

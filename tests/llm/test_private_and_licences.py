@@ -130,3 +130,17 @@ def test_notices_without_lines_of_their_own(spark):
     assert [(found[p]["license"], found[p]["found"]) for p, _ in rows] == [
         ("MIT", "header"), ("Apache-2.0", "header"), ("Apache-2.0", "licence file"), ("Apache-2.0", "inherited"), (None, "none")
     ]
+
+
+def test_long_text_full_of_notice_words(spark):
+    """Windows grow with the text, not with its square, and each stands once."""
+    words = [("license" if i % 20 == 0 else f"w{i % 97}") for i in range(20_000)]
+    files = spark.createDataFrame([(" ".join(words), "a/b.py"), (" ".join(words[:5_000]), "a/c.py")], "text string, path string")
+    files = files.withColumn("_row", F.length("text").cast("long"))
+    found = licenses.passages(files).cache()
+    counts = {r["_row"]: r["count"] for r in found.groupBy("_row").count().collect()}
+    assert max(counts.values()) < 4.2 * min(counts.values()) and max(counts.values()) < 4 * 20_000
+    assert found.groupBy("_row", "start", "size").count().where("count > 1").isEmpty()
+    for r in found.where("start % 4999 = 0").take(50):
+        text = words if r["_row"] == max(counts) else words[:5_000]
+        assert r["line"].split() == text[r["start"] : r["start"] + r["size"]]
