@@ -228,13 +228,14 @@ def cleaning_log(run: CleaningRun) -> DataFrame:
 
 
 def quality_report(run: CleaningRun) -> DataFrame:
-    """One nested row: raw table, cleaned table, cleaning actions; ready for JSON."""
+    """One nested row: time of the report (in the session's zone), raw table, cleaned table, cleaning actions; ready for JSON."""
     log = cleaning_log(run).groupBy().agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("step", "action"))), lambda a: a["action"]
         ).alias("cleaning_actions")
     )
     return log.select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("report_generated_at"),
         raw_summary(run.raw, run.distinct).select(F.struct("*")).scalar().alias("raw_dataset"),
         cleaned_summary(run.cleaned).select(F.struct("*")).scalar().alias("cleaned_dataset"),
         "cleaning_actions",

@@ -1,5 +1,6 @@
 """Cleaning on small hand-made files."""
 
+import re
 from datetime import date
 
 import pytest
@@ -58,6 +59,7 @@ def test_counts_and_report(orders, tmp_path, spark):
     assert (counts["duplicates_removed"], counts["bad_dates_dropped"], counts["amount_filled"]) == (1, 1, 2)
     assert (counts["status_filled"], counts["qty_defaulted"], counts["outliers_capped"]) == (1, 1, 1)
     report = q.quality_report(run)
+    assert re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}", report.first()["report_generated_at"])
     write_report_json(report, f"{tmp_path}/json")
     stored = spark.read.json(f"{tmp_path}/json").first()
     assert stored["raw_dataset"]["rows"] == 10 and stored["cleaned_dataset"]["rows"] == 8
