@@ -67,7 +67,7 @@ def test_spelling_query_is_brute_force(spark, small, small_docs):
     assert actual == expected and any(v[0] for v in actual.values())
 
 
-@pytest.mark.parametrize("often", [0, 3, 30, 10**9])
+@pytest.mark.parametrize("often", [0, 10, 10**9])
 def test_spelling_variants_of_every_kind_are_found(spark, often):
     """Short and long words, repeated letters, edits at every place, at both ends; dictionaries of all kinds of grams."""
     bases = ["house", "aaaaa", "banana", "abcabcabc", "mississippi", "x" * 40, "éàüöß", "ababababab"]
