@@ -163,6 +163,12 @@ def _components(
             per_key.append(F.sum(name).alias(name))
     relaxed = frozenset().union(*[COMPONENTS[n].overrides for n in names])
     lines = df.filter(context.condition(relaxed))
+    if all(COMPONENTS[n].kind != "orders" for n in names):
+        # sums need no row per order
+        sums = {n: F.when(COMPONENTS[n].condition(context), F.col("qty" if COMPONENTS[n].kind == "quantity" else "amount_cents")) for n in names}
+        return lines.groupBy(*keys).agg(
+            *[(F.sum(v.cast("bigint")) if COMPONENTS[n].kind == "quantity" else money_sum(v)).alias(n) for n, v in sums.items()]
+        )
     return lines.groupBy(*keys, "order_id").agg(*per_order).groupBy(*keys).agg(*per_key)
 
 
