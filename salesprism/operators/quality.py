@@ -44,13 +44,13 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 def _counted(df: DataFrame) -> DataFrame:
     texts = {f"c{i}": F.col(f"`{c}`").cast("string") for i, c in enumerate(df.columns)}
-    whole = cells(
-        df,
-        distinct={f"{n}_unique": t for n, t in texts.items()},
-        counts={"rows": F.lit(True)} | {f"{n}_filled": t.isNotNull() for n, t in texts.items()},
-        least={f"{n}_sample": t for n, t in texts.items()},
-        numbers_in_text=True,
-    ).totals()
+    unique = cells(df, distinct={f"{n}_unique": t for n, t in texts.items()}, numbers_in_text=True).totals()
+    # smallest texts beside the cells would make Spark sort a wide row for every cell
+    whole = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(t).alias(f"{n}_filled") for n, t in texts.items()],
+        *[F.min(t).alias(f"{n}_sample") for n, t in texts.items()],
+    ).crossJoin(unique)  # a row each
     columns = [
         F.struct(
             F.lit(c).alias("column"), "rows", F.col(f"{n}_filled").alias("non_null"),
