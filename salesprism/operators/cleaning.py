@@ -4,8 +4,8 @@ The steps and their order: standard names, whole-row dedup, date parsing (rows
 without a date go), date parts, gap filling, number coercion, unit price, text
 case, flags, outlier capping.
 
-The whole rows are shuffled once, for the dedup, and the distinct lines are written
-once as Parquet in the shared folder. The statistics passes (median and mode, then
+The raw lines are written once as Parquet in the shared folder, with a hash; only the hashes and
+the lines that share one are shuffled for the dedup. The distinct lines are written, too. The statistics passes (median and mode, then
 quartiles) scan one column of that table each and bring back one row; the cleaned
 table is then a plain scan and projection.
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesprism.functions.exact import mean_cents
 from salesprism.functions.text import standard_name, stripped, title_case, yes_no
 from salesprism.operators.quantiles import mode, scaled_quantiles
+from salesprism.operators.repeats import HASH, distinct_rows, hashed
 from salesprism.session import materialised
 
 # fixed values: what stands in for a gap
@@ -53,10 +54,6 @@ def rename_if_present(df: DataFrame, old: str, new: str) -> DataFrame:
     return df.withColumnRenamed(old, new) if old in df.columns else df
 
 
-def deduplicated(raw: DataFrame) -> DataFrame:
-    return standardise_names(raw).dropDuplicates()
-
-
 def with_date(df: DataFrame) -> DataFrame:
     """Parse the date text; text that is no date becomes null."""
     return df.withColumn("date", F.try_to_date("date", DATE_FORMAT))
@@ -81,9 +78,9 @@ def cents_of(amount: Column) -> Column:
     return F.round(amount.try_cast("decimal(20,4)") * 100).cast("bigint")
 
 
-def distinct_lines(raw: DataFrame) -> DataFrame:
-    """Distinct lines with parsed date (null where bad) and cents (null where bad)."""
-    dated = with_date(deduplicated(raw))
+def distinct_lines(stored: DataFrame) -> DataFrame:
+    """Distinct lines of the stored raw ones with parsed date (null where bad) and cents (null where bad)."""
+    dated = with_date(distinct_rows(stored))
     return dated.withColumn("amount_cents", cents_of(F.col("amount"))).drop("amount")
 
 
@@ -158,7 +155,7 @@ def capped(filled: DataFrame, known: Statistics) -> DataFrame:
 
 @dataclass(frozen=True)
 class CleaningRun:
-    """A raw table on its way to the cleaned one.
+    """A raw table, under standard names, on its way to the cleaned one.
 
     ``distinct`` also holds the lines without a date, which ``lines`` leaves out.
     """
@@ -181,8 +178,9 @@ class CleaningRun:
 
 
 def start_cleaning(raw: DataFrame) -> CleaningRun:
-    """Write the distinct lines once and gather the statistics over them."""
-    distinct = materialised(distinct_lines(raw))
+    """Write the raw and the distinct lines once and gather the statistics over them."""
+    stored = hashed(standardise_names(raw))
+    distinct = materialised(distinct_lines(stored))
     lines = distinct.filter(F.col("date").isNotNull())
     first = lines.groupBy().agg(F.count(F.lit(1))).select(
         median_cents(lines).scalar().alias("median_cents"),
@@ -196,7 +194,7 @@ def start_cleaning(raw: DataFrame) -> CleaningRun:
     ).first()
     if fences is not None:
         known = replace(known, **fences.asDict())
-    return CleaningRun(raw, distinct, known)
+    return CleaningRun(stored.drop(HASH), distinct, known)
 
 
 def clean(raw: DataFrame) -> DataFrame:
