@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Points that the starts are drawn from; steps and costs are over all points.
 START_SAMPLE = 10_000
+#: Distances that are held at once while points are summed, so that they stay in a core's cache.
+HELD = 1 << 16
 TOLERANCE = 1e-4
 
 
@@ -75,25 +77,54 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return sum((points[:, j, None] - centres[None, :, j]) ** 2 for j in range(points.shape[1]))
 
 
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distance to the nearest centre of each run, and its place, the first one on ties: (runs, points) each.
+
+    ``centres`` are (places, runs, width)."""
+
+    def distance(place: np.ndarray) -> np.ndarray:
+        found = np.zeros((len(place), len(points)))
+        for j in range(place.shape[1]):
+            part = points[None, :, j] - place[:, j, None]
+            part *= part
+            found += part
+        return found
+
+    far = distance(centres[0])
+    own = np.zeros(far.shape, np.int64)
+    for i, place in enumerate(centres[1:], 1):
+        other = distance(place)
+        np.copyto(own, i, where=other < far)
+        np.minimum(far, other, out=far)
+    return far, own
+
+
 def _summed(points: DataFrame, runs: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """For each run: rows and sums of the points nearest to each centre, and the squared distances in all. One scan."""
     ends = np.cumsum([0, *[len(r) for r in runs]])
     every = np.concatenate(runs)
     width = every.shape[1]
+    sizes = np.diff(ends)
+    # runs of one size are compared together: their centres by place (k, runs, width), and their first numbers
+    alike = []
+    for k in np.unique(sizes[sizes > 0]).tolist():
+        begin = ends[:-1][sizes == k]
+        alike.append((k, begin, np.stack([every[begin + i] for i in range(k)])))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, sums, cost = np.zeros(len(every)), np.zeros((len(every), width)), np.zeros(len(every))
         for batch in batches:
-            x = _matrix(batch)
-            if not len(x):
-                continue
-            far = _distances(x, every)
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                own = far[:, a:b].argmin(axis=1)
-                rows[a:b] += np.bincount(own, minlength=b - a)
-                for j in range(width):
-                    sums[a:b, j] += np.bincount(own, weights=x[:, j], minlength=b - a)
-                cost[a:b] += np.bincount(own, weights=far[np.arange(len(x)), a + own], minlength=b - a)
+            whole = _matrix(batch)
+            for k, begin, centres in alike:
+                step = max(1, HELD // len(begin))
+                for x in (whole[i : i + step] for i in range(0, len(whole), step)):
+                    far, own = _nearest(x, centres)
+                    own += begin[:, None]
+                    flat = own.ravel()
+                    rows += np.bincount(flat, minlength=len(every))
+                    for j in range(width):
+                        sums[:, j] += np.bincount(flat, weights=np.tile(x[:, j], len(begin)), minlength=len(every))
+                    cost += np.bincount(flat, weights=far.ravel(), minlength=len(every))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(every))), pa.array(rows), pa.array(cost), *[pa.array(sums[:, j]) for j in range(width)]],
             names=["centre", "rows", "cost", *[f"s{j}" for j in range(width)]],

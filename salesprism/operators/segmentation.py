@@ -34,7 +34,9 @@ def vectors(customers: DataFrame) -> DataFrame:
     customers = materialised(customers)
     scaler = Standardiser.fit(customers, MEASURED)
     scaled = scaler.transform(customers).withColumn("features", F.array(*scaler.outputs()))
-    return materialised(scaled.drop(*scaler.outputs()))
+    # a file per core: few bytes are much work in every step
+    cores = customers.sparkSession.sparkContext.defaultParallelism
+    return materialised(scaled.drop(*scaler.outputs()).repartition(cores))
 
 
 def fit_many(
