@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesprism.functions.dates import date_key
 from salesprism.operators import warehouse as w
+from salesprism.operators.repeats import hashed, parted
 
 #: Equal lines that one task numbers.
 BLOCK = 1 << 16
@@ -28,17 +29,22 @@ DIMENSIONS = {
 def with_line_keys(lines: DataFrame, output: str = "order_line_key") -> DataFrame:
     """Every line with a key of its own, made of its values and its number among equal lines.
 
-    Equal lines fold to one row with their number and are dealt out again in blocks, so that a line
+    The lines are written once with a hash; a line alone on its hash is the first of its kind and stays where it is. Others
+    that are equal fold to one row with their number and are dealt out again in blocks, so that a line
     that makes up a third of the table is one counter first and many tasks afterwards. Keys do not depend on the
     order of the rows or on retries.
     """
     columns = lines.columns
-    counted = lines.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    alone, together = parted(hashed(lines))
+    first_ones = alone.withColumn("_copy", F.lit(1).cast("bigint")).select(w.surrogate_key(*columns, "_copy").alias(output), *columns)
+    if together is None:
+        return first_ones
+    counted = together.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
     blocks = counted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / BLOCK))).alias("_block"))
     dealt = blocks.hint("rebalance")
     first = F.col("_block") * BLOCK + 1
     copies = dealt.select("*", F.explode(F.sequence(first, F.least(F.col("_n"), first + BLOCK - 1))).alias("_copy"))
-    return copies.select(w.surrogate_key(*columns, "_copy").alias(output), *columns)
+    return first_ones.unionByName(copies.select(w.surrogate_key(*columns, "_copy").alias(output), *columns))
 
 
 def repeated_keys(keyed: DataFrame, key: str = "order_line_key") -> DataFrame:

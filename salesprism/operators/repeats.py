@@ -27,17 +27,22 @@ def hashed(df: DataFrame) -> DataFrame:
     return materialised(df.withColumn(HASH, _hash(df.columns, 0)))
 
 
-def distinct_rows(stored: DataFrame) -> DataFrame:
-    """Distinct rows of what ``hashed`` has stored, without the hash.
-
-    A row alone on its hash has no copy. Only rows that share a hash are compared as a whole, so
-    the shuffle carries 64 bits of each row and whole rows just where there may be copies.
-    """
-    columns = [c for c in stored.columns if c != HASH]
+def parted(stored: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """What ``hashed`` has stored, without the hash: the rows alone on their hash, which have no copy, and the others, if any."""
+    columns = [F.col(f"`{c}`") for c in stored.columns if c != HASH]
     shared = materialised(stored.groupBy(HASH).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(HASH))
     found = shared.count()
     if not found:
-        return stored.drop(HASH)
+        return stored.select(*columns), None
     side = F.broadcast(shared) if found <= MOST_SENT else shared
-    alone, together = (stored.join(side, HASH, kind).select(*[f"`{c}`" for c in columns]) for kind in ("left_anti", "left_semi"))
-    return alone.unionByName(together.dropDuplicates())
+    return stored.join(side, HASH, "left_anti").select(*columns), stored.join(side, HASH, "left_semi").select(*columns)
+
+
+def distinct_rows(stored: DataFrame) -> DataFrame:
+    """Distinct rows of what ``hashed`` has stored, without the hash.
+
+    Only rows that share a hash are compared as a whole, so the shuffle carries 64 bits of each row and
+    whole rows just where there may be copies.
+    """
+    alone, together = parted(stored)
+    return alone if together is None else alone.unionByName(together.dropDuplicates())

@@ -82,3 +82,14 @@ def test_sums_need_no_row_per_order(spark):
     found = m.measure(df, ["total_revenue", "total_quantity_sold"], ["size"])
     assert "order_id#" not in "".join(line for line in executed(found).splitlines() if "hashpartitioning(" in line)
     assert {tuple(x) for x in found.collect()} == {("A", 0.75, 3), (None, 0.0, 4)}
+
+
+def test_line_keys_of_single_lines_are_not_shuffled(spark):
+    from salesprism.operators import incremental as inc
+
+    single = spark.range(300).select(F.col("id").alias("order_id"), F.lit(None).cast("string").alias("note"))
+    assert "hashpartitioning(" not in executed(inc.with_line_keys(single))
+    keyed = inc.with_line_keys(single.unionByName(single.where("order_id < 20")).unionByName(single.where("order_id = 7")))
+    assert keyed.count() == 321 and inc.repeated_keys(keyed).first()["violations"] == 0
+    # a line's key is the same whether it has copies or not
+    assert inc.with_line_keys(single).join(keyed, "order_line_key", "left_anti").count() == 0
