@@ -11,8 +11,8 @@ from salesprism.functions.exact import money_sum, units
 from salesprism.operators import incremental as inc, warehouse as w
 from salesprism.operators.aggregates import totals
 from salesprism.plans.registry import NamedQuery, sql_mean2, sql_percent2, sql_units
-from salesprism.session import materialised, table_folder
-from salesprism.sources.sales import delivered_view, sales, sales_sql
+from salesprism.session import table_folder
+from salesprism.sources.sales import delivered_view, sales, sales_sql, stored_sales
 
 # fixed values: the days that the calendar covers at least
 START, END = date(1992, 1, 1), date(2001, 12, 31)
@@ -28,8 +28,8 @@ def _staged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _staging_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The staged lines written once, for loads that read them several times."""
-    return materialised(_staged(spark, folder))
+    """The staged lines, their joins written once, for loads that read them several times."""
+    return w.staging(stored_sales(spark, folder, *_COLUMNS))
 
 
 def _span(spark: SparkSession, folder: str) -> tuple[date, date]:
@@ -96,13 +96,14 @@ def _store(spark: SparkSession) -> inc.StarStore:
 
 def _loaded_in_parts(spark: SparkSession, folder: str) -> inc.StarStore:
     """The star after a first load of all but the last year and a second load of that year, done twice."""
-    staged = _staging_table(spark, folder)
-    last = staged.agg(F.max(F.year("order_date"))).scalar()
-    rows = staged.withColumn("_late", F.coalesce(F.year("order_date") == last, F.lit(False)))
+    rows = w.staging(stored_sales(spark, folder, *_COLUMNS, by_year=True))
+    # null where no line has a date; the files of other years are not read
+    last = rows.agg(F.max("order_year")).first()[0]
+    late = F.col("order_year").eqNullSafe(F.lit(last)) & F.col("order_year").isNotNull()
     store = _store(spark)
-    store.load(rows.filter("not _late").drop("_late"))
+    store.load(rows.filter(~late).drop("order_year"))
     for _ in range(2):
-        store.load(rows.filter("_late").drop("_late"))
+        store.load(rows.filter(late).drop("order_year"))
     return store
 
 

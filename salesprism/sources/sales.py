@@ -13,9 +13,12 @@ The column rules are plain SQL text that Spark and the SQL oracle both accept.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from salesprism.functions.dates import with_calendar
+from salesprism.session import materialised
 
 # column -> (rule, tables it needs next to lineitem); {str} is the text type
 RULES: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -98,10 +101,8 @@ def _needed_tables(columns: list[str]) -> set[str]:
     return {name for c in columns for name in RULES[c][1]}
 
 
-def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Order lines with the given columns (all of them by default)."""
-    columns = columns or ALL_COLUMNS
-    base = _base_columns(columns)
+def _joined(spark: SparkSession, folder: str, base: list[str]) -> DataFrame:
+    """The lines with the tables that the rules of these columns need."""
     needed = _needed_tables(base)
     lines = table(spark, folder, "lineitem")
     if "orders" in needed:
@@ -120,10 +121,42 @@ def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     if "part" in needed:
         part = table(spark, folder, "part")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    rows = lines.select(*[F.expr(RULES[c][0].format(str="string")).alias(c) for c in base])
+    return lines
+
+
+def _ruled(lines: DataFrame, base: list[str], columns: tuple[str, ...], *kept: str) -> DataFrame:
+    """The asked columns by their rules, calendar columns added, and the kept ones as they are."""
+    rows = lines.select(*[F.expr(RULES[c][0].format(str="string")).alias(c) for c in base], *kept)
     if len(base) == len(columns) and set(base) == set(columns):
         return rows
-    return with_calendar(rows).select(*dict.fromkeys([*base, *columns]))
+    return with_calendar(rows).select(*dict.fromkeys([*base, *columns]), *kept)
+
+
+def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Order lines with the given columns (all of them by default)."""
+    columns = columns or ALL_COLUMNS
+    base = _base_columns(columns)
+    return _ruled(_joined(spark, folder, base), base, columns)
+
+
+def stored_sales(spark: SparkSession, folder: str, *columns: str, by_year: bool = False) -> DataFrame:
+    """``sales``, its joins done and written once, for several passes over the lines.
+
+    What is written are the tables' own columns, which are fewer and narrower than the texts made of them; a pass
+    reads those that its columns come from and applies the rules of these. ``by_year`` adds ``order_year`` and a folder for
+    each, so that passes over some years read no others.
+    """
+    columns = columns or ALL_COLUMNS
+    base = _base_columns(columns)
+    if by_year and "order_date" not in base:
+        raise ValueError("lines without their order_date have no year")
+    lines = _joined(spark, folder, base)
+    words = {word for c in base for word in re.findall(r"\w+", RULES[c][0])}
+    own = [c for c in lines.columns if c in words]
+    if not by_year:
+        return _ruled(materialised(lines.select(*own)), base, columns)
+    year = F.year(F.expr(RULES["order_date"][0])).alias("order_year")
+    return _ruled(materialised(lines.select(*own, year), "order_year"), base, columns, "order_year")
 
 
 def sales_sql(*columns: str) -> str:

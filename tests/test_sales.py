@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from salesprism.sources.sales import ALL_COLUMNS, sales
+from salesprism.sources.sales import ALL_COLUMNS, sales, stored_sales
 
 
 def test_pruned_join_equals_full_join(spark, folder):
@@ -25,3 +25,19 @@ def test_filters_reach_the_scan(spark, folder):
     lines = sales(spark, folder, "order_id", "order_date", "category").filter(F.col("category") == "SMALL")
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(p_type,SMALL)" in plan
+
+
+def test_stored_joins_give_the_same_lines(spark, folder):
+    for columns in (ALL_COLUMNS, ("order_id", "order_date", "ship_city", "year"), ("sku", "amount_cents")):
+        stored, plain = stored_sales(spark, folder, *columns), sales(spark, folder, *columns)
+        assert stored.schema == plain.schema
+        assert stored.exceptAll(plain).count() == 0 and plain.exceptAll(stored).count() == 0
+
+
+def test_lines_of_a_year_are_read_from_its_files_alone(spark, folder):
+    lines = stored_sales(spark, folder, "order_id", "order_date", by_year=True)
+    last = lines.agg(F.max("order_year")).first()[0]
+    late = lines.where(F.col("order_year") == last)
+    plain = sales(spark, folder, "order_id", "order_date").where(F.year("order_date") == last)
+    assert sorted(r[0] for r in late.select("order_id").collect()) == sorted(r[0] for r in plain.select("order_id").collect())
+    assert "PartitionFilters: [isnotnull(order_year" in late._jdf.queryExecution().executedPlan().toString()
