@@ -278,10 +278,13 @@ def links(sets: DataFrame, share: int = SHARE) -> DataFrame:
         F.coalesce("distance", F.lit(0.0)).alias("radius"), F.round(F.col("own") * F.col("n")).alias("single"),
         F.coalesce("common", "n").alias("of_hub"),
     )
-    clusters = stored(clusters)
+    # what a set has that is neither in its hub nor its alone is all it can share beyond what hubs share
+    beyond = F.greatest(F.col("n") - F.col("of_hub") - F.col("single"), F.lit(0.0)).cast("bigint")
+    clusters = stored(clusters.withColumn("gain", (100 + share) * beyond - share * F.col("n")))
     about = clusters.groupBy("cluster").agg(
         F.min("wanted").alias("wanted"), F.min("n").alias("least"), F.max("n").alias("most"),
-        F.max("radius").alias("radius"), F.every(F.col("class") == F.col("cluster")).alias("alone"),
+        F.max("radius").alias("radius"), F.max("gain").alias("gain"),
+        F.every(F.col("class") == F.col("cluster")).alias("alone"),
     )
     about = stored(about)
     lists = (
@@ -318,11 +321,21 @@ def _between_members(
     """Links of members where their hubs are not linked but near enough that members may be."""
     limit = 1.0 - share / 100 + 1e-9
     # a hub that joined another's cluster is not in its own, so one member alone need not be the hub
-    reach = [about.select(F.col("cluster").alias(k), F.col("radius").alias(f"r_{k}"), F.col("alone").alias(f"alone_{k}")) for k in "ab"]
+    reach = [
+        about.select(F.col("cluster").alias(k), *[F.col(c).alias(f"{name}_{k}") for c, name in (("radius", "r"), ("alone", "alone"), ("gain", "gain"))])
+        for k in "ab"
+    ]
+    # Members share at most what their hubs share and what each has beyond its hub and itself, so a link
+    # needs (100 + share) * (common + both beyond) >= share * (n_a + n_b). Hubs that are not linked fall short of it by
+    # themselves; a group is opened only towards clusters for which one of its members can make that up.
+    shared = (100 + share) * F.col("common")
     open_pairs = (
         hubs.where("not linked").join(reach[0], "a").join(reach[1], "b")
-        .where(~(F.col("alone_a") & F.col("alone_b")) & (F.col("distance") <= limit + F.col("r_a") + F.col("r_b")))
-        .select("a", "b", "distance", "common", "alone_a", "alone_b")
+        .where(
+            ~(F.col("alone_a") & F.col("alone_b")) & (F.col("distance") <= limit + F.col("r_a") + F.col("r_b"))
+            & (shared + F.col("gain_a") + F.col("gain_b") >= 0)
+        )
+        .select("a", "b", "distance", "common", "alone_a", "alone_b", "r_b", "gain_b")
     )
     open_pairs = stored(open_pairs)
     if open_pairs.isEmpty():
@@ -334,7 +347,7 @@ def _between_members(
     inside = [
         clusters.select(
             F.col("cluster").alias(k), F.col("class").alias(f"m_{k}"),
-            *[F.col(c).alias(f"{c[0]}_{k}_") for c in ("n", "radius", "single", "of_hub")],
+            *[F.col(c).alias(f"{c[0]}_{k}_") for c in ("n", "radius", "single", "of_hub", "gain")],
         )
         for k in "ab"
     ]
@@ -348,10 +361,12 @@ def _between_members(
     differ = F.col("s_a_") + F.col("s_b_") + F.greatest(of_a, of_b)
     pairs = (
         open_pairs.where("root_a <> root_b")
-        .join(inside[0], "a").where(F.col("distance") - F.col("r_a_") <= 2 * limit)
+        .join(inside[0], "a")
+        .where((F.col("distance") - F.col("r_a_") - F.col("r_b") <= limit) & (shared + F.col("g_a_") + F.col("gain_b") >= 0))
         .join(inside[1], "b")
         .where(
-            (F.col("distance") - F.col("r_a_") - F.col("r_b_") <= limit)
+            (shared + F.col("g_a_") + F.col("g_b_") >= 0)
+            & (F.col("distance") - F.col("r_a_") - F.col("r_b_") <= limit)
             & (F.greatest("n_a_", "n_b_") * share <= F.least("n_a_", "n_b_") * 100)
             & (differ * (100 + share) <= (F.col("n_a_") + F.col("n_b_")) * (100 - share))
         )

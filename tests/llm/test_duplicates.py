@@ -8,6 +8,7 @@ from plain import prose
 from salesprism.llm import jaccard, projections
 from salesprism.llm.components import components
 from salesprism.llm.queries import queries
+from salesprism.llm.store import stored
 from salesprism.llm.shingles import set_hash, shingle_sets, word_hashes
 
 
@@ -91,6 +92,28 @@ def test_hub_in_another_cluster(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
 
 
+def test_a_group_is_not_opened_towards_sets_that_its_members_cannot_link_with(spark, monkeypatch):
+    """Copies with words of their own beside sets a little too far from all of them: no member can link."""
+    opened = []
+
+    def counted(df, *more):
+        table = stored(df, *more)
+        if "alone_a" in table.columns:
+            opened.append(table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    text = [f"t{k}" for k in range(200)]
+    copies = [" ".join([*text, *(f"own{k}x{i}" for i in range(10))]) for k in range(30)]
+    others = [" ".join([*text[:170], *(f"other{k}x{i}" for i in range(22))]) for k in range(30)]
+    rows = list(enumerate([" ".join(text), *copies, *others]))
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
+             jaccard.joined(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == plain.jaccard_components(rows)
+    assert {c for i, (_, c) in found.items() if i <= 30} == {0} and len({c for _, c in found.values()}) == 31
+    assert sum(opened) == 0
+
+
 def test_jaccard_awkward(awkward, nothing):
     found = jaccard.joined(awkward).collect()
     assert len(found) == awkward.count()
