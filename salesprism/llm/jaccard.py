@@ -114,8 +114,13 @@ def _counted(sent: DataFrame, blocks: int) -> DataFrame:
         first = first[np.argsort(np.mod(classes[first], blocks), kind="stable")]
         own, begin, length = classes[first], starts[first], sizes[first]
         places = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
-        _, inverse, counts = np.unique(tokens[places], return_inverse=True, return_counts=True)
-        codes = _frequency_code(counts)[inverse]
+        taken = tokens[places]
+        del tokens, places  # a group's arrays are most of what its task holds
+        order = np.argsort(taken)
+        taken = taken[order]
+        edges = np.flatnonzero(np.concatenate([[True], taken[1:] != taken[:-1], [True]])[: len(taken) + 1])
+        codes = np.empty(len(taken), dtype=np.uint8)
+        codes[order] = np.repeat(_frequency_code(np.diff(edges)), np.diff(edges))
         block = np.mod(own, blocks)
         edges = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
         ends = np.concatenate([[0], np.cumsum(length)])
