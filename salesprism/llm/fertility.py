@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from salesprism.llm.store import stored
-from salesprism.llm.tokens import WordCache, slices, tokenizer, tokenizer_path
+from salesprism.llm.tokens import WordCache, slices, spaced, tokenizer, tokenizer_path
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 SYMBOLS = "#*$%&|<>"
@@ -29,6 +30,8 @@ MEASURES = {
     "piece_entropy": (500, 4.0, 0.016, True, False),
 }
 
+_NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]")
 _VALUES: list = []
 
 
@@ -39,13 +42,12 @@ def _word_values() -> tuple[WordCache, np.ndarray]:
         from array import array
 
         pieces = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(PIECES))
-        tokens = tokenizer(BYTES)
+        packed = spaced(tokenizer(BYTES))
 
         def values(words: list[bytes]) -> list[tuple[int, bytes]]:
             texts = [w.decode() for w in words]
-            encoded = tokens.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
             split = pieces.encode(texts, num_threads=1)
-            return [(len(e), array("I", p).tobytes()) for e, p in zip(encoded, split)]
+            return [(len(ids) // 4, array("I", p).tobytes()) for ids, p in zip(packed(texts), split)]
 
         fallback = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
         _VALUES.append((WordCache(values, KEPT), fallback))
@@ -90,9 +92,13 @@ def duplicate_lines(text: str) -> int:
 def script(text: str) -> str:
     """The script most letters of a text belong to, as Unicode names it."""
     found: Counter = Counter()
-    for ch, n in Counter(text).items():
-        if ch.isalpha():
-            found[unicodedata.name(ch, "UNKNOWN").split()[0]] += n
+    plain = len(text.encode("ascii", "ignore").translate(None, _NO_LETTERS))
+    if plain:
+        found["LATIN"] = plain
+    if not text.isascii():
+        for ch, n in Counter(_BEYOND_ASCII.findall(text)).items():
+            if ch.isalpha():
+                found[unicodedata.name(ch, "UNKNOWN").split()[0]] += n
     return min(found, key=lambda s: (-found[s], s)) if found else "NONE"
 
 

@@ -6,6 +6,7 @@ import pytest
 import plain
 from salesprism.llm import context_tree, fertility, language
 from salesprism.llm.queries import queries
+from salesprism.llm.tokens import tokenizer
 
 
 def test_base_counts(awkward):
@@ -159,3 +160,37 @@ def test_language_awkward(awkward):
     found = {r["doc_id"]: r for r in language.predicted(awkward).collect()}
     assert all(found[i]["lang_pred"] == "und" and found[i]["score"] == 0 for i in (5, 6, 10, 16))
     assert found[9]["lang_pred"] != "und"
+
+
+def test_script_and_tokens_as_counted_alone():
+    import unicodedata
+    from collections import Counter
+
+    for text in ("", "1 2", "ab ж", "ж ж ж q", "中文 ab", "ªº ǅ", "٠ #$", "é", "\U000e0001 a", "Ωω ab"):
+        found = Counter(unicodedata.name(ch, "UNKNOWN").split()[0] for ch in text if ch.isalpha())
+        assert fertility.script(text) == (min(found, key=lambda s: (-found[s], s)) if found else "NONE")
+    words = ["a", "b\xa0", "\x01", "<|endoftext|>", "word,", "\U0001f600x", "é\x85", "y" * 300] + [f"w{k}" for k in range(500)]
+    made = tokenizer(fertility.BYTES)
+    alone = [len(made.encode(" " + w, add_special_tokens=False)) for w in words]
+    assert [n for n, _ in fertility._word_values()[0].compute([w.encode() for w in words])] == alone
+
+
+def test_new_words_are_encoded_many_at_once(monkeypatch):
+    """One text of a tokenizer's call for each few hundred words."""
+    calls = []
+
+    class Counting:
+        def __init__(self, made):
+            self.made = made
+
+        def __getattr__(self, name):
+            return getattr(self.made, name)
+
+        def encode_batch_fast(self, texts, **more):
+            calls.extend(texts)
+            return self.made.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(fertility, "tokenizer", lambda name: Counting(tokenizer(name)))
+    monkeypatch.setattr(fertility, "_VALUES", [])
+    fertility._word_values()[0].compute([f"w{k}".encode() for k in range(400)])
+    assert len(calls) <= 4
