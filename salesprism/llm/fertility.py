@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from salesprism.llm.store import stored
-from salesprism.llm.tokens import WordCache, slices, spaced, tokenizer, tokenizer_path
+from salesprism.llm.shingles import _BLANK as BLANK, word_spans
+from salesprism.llm.tokens import WordTable, distinct, runs, slices, spaced, tokenizer, tokenizer_path
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 SYMBOLS = "#*$%&|<>"
 CHUNK = 256  # pieces over which entropy is measured, so that it doesn't depend on length
-KEPT = 120_000  # words whose tokens and pieces a worker holds, twice at most
+KEPT = 600_000  # words whose tokens and pieces a worker holds, about
 SLICE = 1_500_000  # characters of texts split into words at once
 LEAST_DOCS = 200  # bands of fewer documents are wider, and those of their language's scripts count too
 #: measure: bins in a unit, half width of the band in robust standard deviations, the least
@@ -30,27 +31,45 @@ MEASURES = {
     "piece_entropy": (500, 4.0, 0.016, True, False),
 }
 
-_NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
-_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]")
+_LETTER = np.array([chr(b).isalpha() for b in range(128)])
+_NAMES: dict[int, str | None] = {}  # script of each letter seen
+_SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
 _VALUES: list = []
 
 
-def _word_values() -> tuple[WordCache, np.ndarray]:
-    """For a word: tokens, and its pieces as packed ids. And which pieces are single bytes."""
-    if not _VALUES:
-        import sentencepiece
-        from array import array
-
-        pieces = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(PIECES))
-        packed = spaced(tokenizer(BYTES))
+class _Values(WordTable):
+    """For a word the number of its tokens, then its pieces. ``fallback`` tells which pieces are single bytes."""
 
-        def values(words: list[bytes]) -> list[tuple[int, bytes]]:
-            texts = [w.decode() for w in words]
-            split = pieces.encode(texts, num_threads=1)
-            return [(len(ids) // 4, array("I", p).tobytes()) for ids, p in zip(packed(texts), split)]
+    def __init__(self) -> None:
+        import sentencepiece
 
-        fallback = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
-        _VALUES.append((WordCache(values, KEPT), fallback))
+        super().__init__(self._packed, KEPT)
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(PIECES))
+        self.spaced = spaced(tokenizer(BYTES))
+        self.fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
+
+    def compute(self, words: list[bytes]) -> list[tuple[int, list[int]]]:
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        tokens, _ = self.spaced(b"".join(words), np.concatenate([[0], ends[:-1]]), ends)
+        return list(zip(tokens.tolist(), self.pieces.encode([w.decode() for w in words], num_threads=1)))
+
+    def _packed(self, data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        tokens, _ = self.spaced(data, begins, ends)
+        split = self.pieces.encode([data[a:b].decode() for a, b in zip(begins.tolist(), ends.tolist())], num_threads=1)
+        sizes = np.array([len(p) for p in split], dtype=np.int64) + 1
+        values = np.empty(int(sizes.sum()), dtype="<u4")
+        first = np.cumsum(sizes) - sizes
+        values[first] = tokens
+        later = np.ones(len(values), dtype=bool)
+        later[first] = False
+        values[later] = np.fromiter(chain.from_iterable(split), "<u4", len(values) - len(sizes))
+        return sizes, values
+
+
+def _word_values() -> tuple[WordTable, np.ndarray]:
+    if not _VALUES:
+        table = _Values()
+        _VALUES.append((table, table.fallback))
     return _VALUES[0]
 
 
@@ -70,18 +89,26 @@ def entropy(ids: np.ndarray) -> float:
     return float((bits / np.log2(np.maximum(sizes, 2))).mean())
 
 
+def _repeated(words: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """For each text, its words in 3-word windows that it has twice or more, each word once.
+    ``words`` are numbers of words under 2^31, ``doc`` the text of each, in order."""
+    flags = np.zeros(len(words), dtype=bool)
+    if len(words) > 2:
+        pairs = distinct(words[:-2] << 32 | words[1:-1])[1]
+        windows = distinct(pairs << 32 | words[2:])[1]
+        inside = np.flatnonzero(doc[2:] == doc[:-2])
+        first, inverse = distinct(doc[inside] << 32 | windows[inside])
+        again = inside[np.bincount(inverse, minlength=len(first))[inverse] > 1]
+        for k in range(3):
+            flags[again + k] = True
+    return np.bincount(doc[flags], minlength=docs)
+
+
 def repeated_words(words: list) -> int:
     """Words in 3-word windows that the text has twice or more, each word once."""
-    windows = list(zip(words, words[1:], words[2:]))
-    counts = Counter(windows)
-    if len(counts) == len(windows):
-        return 0
-    covered = end = 0
-    for i, window in enumerate(windows):
-        if counts[window] > 1:
-            covered += i + 3 - max(i, end)
-            end = i + 3
-    return covered
+    numbers: dict = {}
+    own = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int64)
+    return int(_repeated(own, np.zeros(len(own), dtype=np.int64), 1)[0])
 
 
 def duplicate_lines(text: str) -> int:
@@ -89,17 +116,25 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def _scripts(texts: list[str]) -> list[str]:
+    """The script most letters of each text belong to, as Unicode names it."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
+    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    plain = points < 128
+    latin = np.bincount(doc[plain & _LETTER[np.minimum(points, 127)]], minlength=len(texts))
+    found: list[Counter] = [Counter({"LATIN": n}) if n else Counter() for n in latin.tolist()]
+    first, inverse = distinct(doc[~plain].astype(np.int64) << 32 | points[~plain])
+    for i, point, n in zip(doc[~plain][first].tolist(), points[~plain][first].tolist(), np.bincount(inverse, minlength=len(first)).tolist()):
+        if point not in _NAMES:
+            ch = chr(point)
+            _NAMES[point] = unicodedata.name(ch, "UNKNOWN").split()[0] if ch.isalpha() else None
+        if _NAMES[point]:
+            found[i][_NAMES[point]] += n
+    return [min(f, key=lambda s: (-f[s], s)) if f else "NONE" for f in found]
+
+
 def script(text: str) -> str:
-    """The script most letters of a text belong to, as Unicode names it."""
-    found: Counter = Counter()
-    plain = len(text.encode("ascii", "ignore").translate(None, _NO_LETTERS))
-    if plain:
-        found["LATIN"] = plain
-    if not text.isascii():
-        for ch, n in Counter(_BEYOND_ASCII.findall(text)).items():
-            if ch.isalpha():
-                found[unicodedata.name(ch, "UNKNOWN").split()[0]] += n
-    return min(found, key=lambda s: (-found[s], s)) if found else "NONE"
+    return _scripts([text])[0]
 
 
 _MEASURED = (
@@ -108,6 +143,39 @@ _MEASURED = (
 )
 
 
+def _counted(texts: list[str]) -> list[tuple]:
+    """The columns of ``_MEASURED`` from script on, for each text."""
+    n = len(texts)
+    encoded = [t.encode() for t in texts]
+    data = b"\n".join(encoded)
+    last = np.cumsum([len(t) + 1 for t in encoded])
+    hashes, begins, ends = word_spans(data)
+    doc = np.searchsorted(last, begins, side="right")
+    keys = hashes ^ (ends - begins).astype(np.uint64)
+    first, inverse = distinct(keys)
+    table, byte_piece = _word_values()
+    starts, sizes = table.ready(data, keys[first], begins[first], ends[first])
+    n_tokens = np.bincount(doc, weights=table.pool[starts[inverse]], minlength=n).astype(np.int64)
+    counts = sizes[inverse] - 1
+    ids = table.pool[runs(starts[inverse] + 1, counts)].astype(np.int64)
+    n_pieces = np.bincount(doc, weights=counts, minlength=n).astype(np.int64)
+    cuts = np.concatenate([[0], np.cumsum(n_pieces)]).tolist()
+    falls = np.concatenate([[0], np.cumsum(byte_piece[ids])])
+    letters = np.frombuffer(data, np.uint8)
+    edges = np.concatenate([[0], np.minimum(last, len(data))])
+
+    def bytes_of(kind: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate([[0], np.cumsum(kind)])[edges])
+
+    word_chars = bytes_of(((letters & 0xC0) != 0x80) & ~BLANK[letters])
+    columns = (
+        _scripts(texts), np.bincount(doc, minlength=n).tolist(), word_chars.tolist(), bytes_of(_SYMBOL[letters]).tolist(),
+        map(duplicate_lines, texts), _repeated(inverse, doc, n).tolist(), n_tokens.tolist(), n_pieces.tolist(),
+        (falls[cuts[1:]] - falls[cuts[:-1]]).tolist(), [entropy(ids[x:y]) for x, y in zip(cuts[:-1], cuts[1:])],
+    )
+    return list(zip(*columns))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """Counts, main script and fertility of each document of (doc_id, lang, text); where lang is
     null, the script in brackets stands for it."""
@@ -120,22 +188,9 @@ def measured(docs: DataFrame) -> DataFrame:
             numbers, langs = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist()
             rows = []
             for a, b in slices(texts, SLICE):
-                split = [t.encode().split() for t in texts[a:b]]
-                cache, byte_piece = _word_values()
-                values = cache.ready(split)
-                for i, words in zip(range(a, b), split):
-                    text = texts[i]
-                    own = [values[w] for w in words]
-                    letters = script(text)
-                    ids = np.frombuffer(b"".join([v[1] for v in own]), dtype="<u4").astype(np.int64)
-                    rows.append(
-                        (
-                            numbers[i], langs[i] if langs[i] is not None else f"({letters})", letters, len(words),
-                            len(text) - sum(map(text.count, " \t\n\r\x0b\x0c")),
-                            sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeated_words(words),
-                            sum([v[0] for v in own]), len(ids), int(byte_piece[ids].sum()), entropy(ids),
-                        )
-                    )
+                for i, counts in zip(range(a, b), _counted(texts[a:b])):
+                    letters = counts[0]
+                    rows.append((numbers[i], langs[i] if langs[i] is not None else f"({letters})", *counts))
             columns = zip(*rows) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kinds.get(n, pa.int64())) for n, c in zip(names, columns)], names

@@ -238,3 +238,34 @@ def test_words_with_equal_polynomials_stay_apart(spark):
         texts = [f"x {a}", f"x {b}", a, b]
         expected = [np.array(made.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
         assert ids(name, texts) == expected
+
+
+@pytest.mark.parametrize("kind, name", [("spaced", "byte_bpe_50k.json"), ("parted", "word_bpe_49k.json")])
+def test_word_table_keeps_words_in_arrays(kind, name):
+    """Values are right where words return, are dropped, are too long to keep or share a key, and a
+    word that is kept isn't encoded again."""
+    from salesprism.llm import tokens
+
+    made, encoded = tokens.tokenizer(name), []
+    encode = {"spaced": tokens.spaced, "parted": tokens._parted}[kind](made)
+
+    def counting(data, begins, ends):
+        encoded.extend(data[a:b].decode() for a, b in zip(begins.tolist(), ends.tolist()))
+        return encode(data, begins, ends)
+
+    table = tokens.WordTable(counting, kept=30)
+    common = ["a", "word,", "nb\xa0", "e　", "é\x85", "\x01", "x\x01y", "\U0001f600x", "eightchr", "seventeen letters"[:9], "y" * 300]
+    for turn in range(6):
+        words = common + [f"w{turn}{k}" for k in range(12)]
+        data = " ".join(words).encode()
+        ends = np.cumsum([len(w.encode()) + 1 for w in words]) - 1
+        begins = ends - [len(w.encode()) for w in words]
+        # two words of each turn have keys that words of the first turn took
+        keys = np.arange(len(words), dtype=np.uint64) + np.uint64(100 * turn) * (np.arange(len(words)) >= len(common) + 2).astype(np.uint64)
+        order = np.argsort(keys)
+        starts, sizes = table.ready(data, keys[order], begins[order], ends[order])
+        for i, start, size in zip(order.tolist(), starts.tolist(), sizes.tolist()):
+            text = " " + words[i] if kind == "spaced" else words[i]
+            assert table.pool[start : start + size].tolist() == made.encode(text, add_special_tokens=False).ids
+        assert len(table.keys) <= 30 + len(words) and (np.diff(table.keys.astype(np.int64)) > 0).all()
+    assert encoded.count("eightchr") == 1 and encoded.count("y" * 300) == 6
