@@ -14,13 +14,13 @@ from pyspark.sql.window import Window
 
 from salesprism.llm.store import stored
 from salesprism.llm.shingles import _BLANK as BLANK, word_spans
-from salesprism.llm.tokens import WordTable, distinct, runs, slices, spaced, tokenizer, tokenizer_path
+from salesprism.llm.tokens import WordTable, distinct, runs, spaced, text_slices, tokenizer, tokenizer_path
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 SYMBOLS = "#*$%&|<>"
 CHUNK = 256  # pieces over which entropy is measured, so that it doesn't depend on length
-KEPT = 600_000  # words whose tokens and pieces a worker holds, about
-SLICE = 1_500_000  # characters of texts split into words at once
+KEPT = 400_000  # words whose tokens and pieces a worker holds, about
+SLICE = 500_000  # bytes of texts split into words at once
 LEAST_DOCS = 200  # bands of fewer documents are wider, and those of their language's scripts count too
 #: measure: bins in a unit, half width of the band in robust standard deviations, the least
 #: such deviation, rejects below, rejects above
@@ -184,11 +184,10 @@ def measured(docs: DataFrame) -> DataFrame:
         names = [part.split()[0] for part in _MEASURED.split(", ")]
         kinds = {"lang": pa.string(), "script": pa.string(), "piece_entropy": pa.float64()}
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             numbers, langs = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist()
             rows = []
-            for a, b in slices(texts, SLICE):
-                for i, counts in zip(range(a, b), _counted(texts[a:b])):
+            for a, b, texts in text_slices(batch.column("text"), SLICE):
+                for i, counts in zip(range(a, b), _counted(texts)):
                     letters = counts[0]
                     rows.append((numbers[i], langs[i] if langs[i] is not None else f"({letters})", *counts))
             columns = zip(*rows) if rows else [[] for _ in names]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesprism.llm.components import components
 from salesprism.llm.shingles import set_hash, shingle_sets
 from salesprism.llm.store import stored
-from salesprism.llm.tokens import slices
+from salesprism.llm.tokens import text_slices
 
 SHARE = 80  # per cent of the union that linked documents have in common
 GROUP = 3_000_000  # shingles that one task counts or looks up, about
@@ -37,10 +37,10 @@ def linked(common, a, b, share: int = SHARE):
     return (100 + share) * common >= share * (a + b)
 
 
-def _hashed(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray]]:
+def _hashed(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """Place, set hash and set of each text, some texts at a time."""
-    for a, b in slices(texts, SLICE):
-        for i, found in zip(range(a, b), shingle_sets(texts[a:b])):
+    for a, b, own in text_slices(texts, SLICE):
+        for i, found in zip(range(a, b), shingle_sets(own)):
             yield i, set_hash(found), found
 
 
@@ -50,7 +50,7 @@ def members(docs: DataFrame) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), h) for _, h, s in _hashed(batch.column("text").to_pylist())]
+            found = [(len(s), h) for _, h, s in _hashed(batch.column("text"))]
             sizes, classes = zip(*found) if found else ([], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())],
@@ -74,10 +74,10 @@ def _sent(docs: DataFrame, bits: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(texts, SLICE):
+            for _, _, texts in text_slices(batch.column("text"), SLICE):
                 classes, sets = [], []
-                for _, h, found in _hashed(texts[a:b]):
+                for found in shingle_sets(texts):
+                    h = set_hash(found)
                     if len(found) and h not in seen:
                         seen.add(h)
                         classes.append(h)
@@ -165,15 +165,14 @@ def prefixes(docs: DataFrame, blocks: int, codes: DataFrame, share: int = SHARE)
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             rows = []
-            for i, h, found in _hashed(texts):
+            for i, h, found in _hashed(batch.column("text")):
                 if len(found) and h not in seen:
                     seen.add(h)
-                    rows.append((h % blocks, h, texts[i]))
-            block, name, text = zip(*rows) if rows else ([], [], [])
+                    rows.append((h % blocks, h, i))
+            block, name, at = zip(*rows) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block, pa.int64()), pa.array(name, pa.int64()), pa.array(text, pa.string())],
+                [pa.array(block, pa.int64()), pa.array(name, pa.int64()), batch.column("text").take(pa.array(at, pa.int64()))],
                 ["block", "class", "text"],
             )
 
@@ -188,8 +187,9 @@ def prefixes(docs: DataFrame, blocks: int, codes: DataFrame, share: int = SHARE)
         owners, sizes = owners[order], sizes[order]
         texts = texts.drop_duplicates("class")
         out = []
-        strings, names = texts["text"].tolist(), texts["class"].tolist()
-        for i, h, found in _hashed(strings):
+        names = texts["class"].tolist()
+        strings = pa.array(texts.pop("text"), pa.string())
+        for i, _, found in _hashed(strings):
             name, n = names[i], len(found)
             a, b = np.searchsorted(owners, name), np.searchsorted(owners, name, side="right")
             codes = np.concatenate([codes_all[s : s + k] for s, k in zip(starts[a:b], sizes[a:b])])
@@ -201,7 +201,7 @@ def prefixes(docs: DataFrame, blocks: int, codes: DataFrame, share: int = SHARE)
             wanted = matches_wanted(codes[order], shortest)
             prefix = found[order][single : shortest + wanted - 1]
             index = max(0, n - least_common_as_smaller(n, share) + wanted - single)
-            out.append((name, n, single / n, wanted, prefix.view(np.int64).tolist(), index, found.astype("<u8").tobytes()))
+            out.append((name, n, single / n, wanted, prefix.view(np.int64), index, found.astype("<u8").tobytes()))
         return pd.DataFrame(out, columns=["class", "n", "own", "wanted", "prefix", "n_index", "shingles"])
 
     texts = docs.select("text").mapInArrow(once, "block bigint, class bigint, text string")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from salesprism.llm.store import stored
-from salesprism.llm.tokens import slices, word_level_ids
+from salesprism.llm.tokens import text_slices, word_level_ids
 
 WORD_BPE, WORD_BPE_END = "word_bpe_49k.json", 2
 BLOCK = 1 << 19  # ids after which a block ends, at the end of a document
@@ -158,10 +158,9 @@ def written(
 
         size = 0
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             numbers = batch.column("doc_id").to_pylist()
-            for a, b in slices(texts):
-                for doc_id, ids in zip(numbers[a:b], encode(texts[a:b])):
+            for a, b, texts in text_slices(batch.column("text")):
+                for doc_id, ids in zip(numbers[a:b], encode(texts)):
                     doc_ids.append(doc_id)
                     held.append(ids + last)
                     size += len(held[-1]) // 4

@@ -269,3 +269,18 @@ def test_word_table_keeps_words_in_arrays(kind, name):
             assert table.pool[start : start + size].tolist() == made.encode(text, add_special_tokens=False).ids
         assert len(table.keys) <= 30 + len(words) and (np.diff(table.keys.astype(np.int64)) > 0).all()
     assert encoded.count("eightchr") == 1 and encoded.count("y" * 300) == 6
+
+
+def test_a_batch_of_texts_is_not_held_as_strings_at_once():
+    import pyarrow as pa
+
+    from salesprism.llm.tokens import text_slices
+
+    texts = ["ab", None, "", "é" * 30, "x" * 100, "y", None]
+    for column in (pa.array(texts, pa.string()), pa.array(["skipped", *texts], pa.string()).slice(1)):
+        for size in (1, 10, 60, 10_000):
+            found = list(text_slices(column, size))
+            assert [t for _, _, own in found for t in own] == [t or "" for t in texts]
+            assert [a for a, _, _ in found] == [0, *[b for _, b, _ in found[:-1]]] and found[-1][1] == len(texts)
+            assert all(sum(len(t.encode()) for t in own[:-1]) < size for _, _, own in found)
+    assert list(text_slices(pa.array([], pa.string()))) == []
