@@ -124,16 +124,19 @@ def notices(files: DataFrame, least: float = LEAST, more: DataFrame | None = Non
     """
     spark = files.sparkSession
     lines = stored(files.select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(NOTICE)).distinct())
-    words = stored(lines.select(F.col("line").alias("item"), F.explode(terms(F.col("line"))).alias("term")))
+    every = lines.withColumn("own", F.lit(True))
+    if more is not None:
+        extra = more.select("line").distinct().join(lines, "line", "left_anti")
+        every = every.unionByName(extra.withColumn("own", F.lit(False)))
+    # a number stands for its line, so that no text is carried along with each of its terms
+    every = stored(every.withColumn("item", F.monotonically_increasing_id()))
+    words = every.select("item", "own", F.explode(terms(F.col("line"))).alias("term"))
     models = _templates(spark)
     model_words = models.select("item", F.explode(terms(F.col("text"))).alias("term"))
-    known = words.distinct().unionByName(model_words.distinct())
+    known = words.where("own").select("item", "term").distinct().select("term").unionByName(model_words.distinct().select("term"))
     total = lines.count() + models.count()
     idf = known.groupBy("term").agg(F.log(1 + F.lit(float(total)) / F.count(F.lit(1))).alias("idf"))
     idf, rarest = stored(idf), math.log(1 + total)
-    if more is not None:
-        extra = more.select("line").distinct().join(lines, "line", "left_anti")
-        words = words.unionByName(extra.select(F.col("line").alias("item"), F.explode(terms(F.col("line"))).alias("term")))
     whole = _whole_templates(spark)
     model_words = model_words.unionByName(whole.select("item", F.explode(terms(F.col("text"))).alias("term")))
     models = models.unionByName(whole)
@@ -144,8 +147,8 @@ def notices(files: DataFrame, least: float = LEAST, more: DataFrame | None = Non
     met = _weights(words, idf, rarest).join(F.broadcast(theirs), F.col("term") == F.col("_term"))
     scores = met.groupBy("item", "_template", "license").agg(F.round(F.sum(F.col("w") * F.col("_w")), 9).alias("score"))
     best = scores.groupBy("item").agg(F.max(F.struct("score", "license")).alias("best"))
-    return best.where(F.col("best.score") >= least).select(
-        F.col("item").alias("line"), F.col("best.license").alias("license"), F.col("best.score").alias("score")
+    return best.where(F.col("best.score") >= least).join(every, "item").select(
+        "line", F.col("best.license").alias("license"), F.col("best.score").alias("score")
     )
 
 

@@ -144,3 +144,17 @@ def test_long_text_full_of_notice_words(spark):
     for r in found.where("start % 4999 = 0").take(50):
         text = words if r["_row"] == max(counts) else words[:5_000]
         assert r["line"].split() == text[r["start"] : r["start"] + r["size"]]
+
+
+def test_terms_carry_a_number_and_not_their_line(files, monkeypatch):
+    kinds, weights = [], licenses._weights
+
+    def seen(words, idf, rarest):
+        kinds.append(dict(words.dtypes)["item"])
+        return weights(words, idf, rarest)
+
+    monkeypatch.setattr(licenses, "_weights", seen)
+    rows = files.select("path", "text").withColumn("_row", F.monotonically_increasing_id())
+    found = licenses.notices(rows, more=licenses.passages(rows))
+    assert sorted(kinds) == ["bigint", "string"]  # lines by number; the fixed templates by name
+    assert {r["line"]: r["license"] for r in found.collect()}[NOTICE] == "MIT"
