@@ -8,15 +8,15 @@ from salesprism.functions.exact import mean2, percent2, units
 from salesprism.operators.cells import cells
 from salesprism.operators.cleaning import CleaningRun, is_outlier, whole_number
 from salesprism.operators.repeats import row_digest
+from salesprism.operators.values import column_values
 
 
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """One row per column: type, filled and missing rows, distinct values, a sample.
 
-    Null counts and samples, the smallest values, are plain aggregates. For distinct counts a cell of 64
-    neighbouring numbers, or a text, leaves each task once; so frequent values and numbered columns
-    shuffle next to nothing. With ``approximate`` the distinct counts come from sketches and nothing is shuffled
-    but one row per task.
+    The rows are read once, when this is called: each task folds them to its different values, and only these are
+    stored and shuffled, numbers as runs of neighbours. With ``approximate`` the distinct counts come from sketches,
+    nothing is stored and nothing is shuffled but one row per task.
     """
     columns = df.sparkSession.createDataFrame(
         [(i, c, t) for i, (c, t) in enumerate(df.dtypes)], "position int, name string, dtype string"
@@ -44,22 +44,7 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def _counted(df: DataFrame) -> DataFrame:
-    texts = {f"c{i}": F.col(f"`{c}`").cast("string") for i, c in enumerate(df.columns)}
-    unique = cells(df, distinct={f"{n}_unique": t for n, t in texts.items()}, numbers_in_text=True).totals()
-    # smallest texts beside the cells would make Spark sort a wide row for every cell
-    whole = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(t).alias(f"{n}_filled") for n, t in texts.items()],
-        *[F.min(t).alias(f"{n}_sample") for n, t in texts.items()],
-    ).crossJoin(unique)  # a row each
-    columns = [
-        F.struct(
-            F.lit(c).alias("column"), "rows", F.col(f"{n}_filled").alias("non_null"),
-            F.col(f"{n}_unique").alias("unique_values"), F.col(f"{n}_sample").alias("sample"),
-        )
-        for n, c in zip(texts, df.columns, strict=True)
-    ]
-    return whole.select(F.inline(F.array(*columns)))
+    return column_values(df)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
