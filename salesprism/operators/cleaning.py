@@ -134,7 +134,9 @@ def filled_lines(lines: DataFrame, known: Statistics) -> DataFrame:
             **{c: F.coalesce(F.col(c), F.lit(text)) for c, text in FILLS.items()},
         }
     )
-    cased = {c: title_case(stripped(F.col(c))) for c in TITLE_CASED if c in filled.columns}
+    # in a step of its own, so that a text is stripped once and not for each use of it
+    filled = filled.withColumns({c: stripped(F.col(c)) for c in TITLE_CASED if c in filled.columns})
+    cased = {c: title_case(F.col(c)) for c in TITLE_CASED if c in filled.columns}
     priced = filled.withColumns(
         {"unit_price_cents": mean_cents(F.col("amount_cents"), F.col("qty")), **cased}
     )

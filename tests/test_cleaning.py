@@ -123,3 +123,17 @@ def test_reports_run_on_cleaned_lines(orders, tmp_path, spark):
     assert catalogue["status"]["rows"] == 2 and catalogue["kpis"]["rows"] == 1
     assert catalogue["broken"]["rows"] is None and catalogue["broken"]["error"]
     assert spark.read.parquet(f"{tmp_path}/out/status").count() == 2
+
+
+def test_texts_are_stripped_once(orders):
+    from salesprism.functions.text import stripped
+
+    spark = orders.sparkSession
+    spaces = ["\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", " ", "\x85", "\xa0", " ", " ", " ", "　"]
+    cores = ["", "x", "a b", "~", "é", "\x00", "~x~", "​"]
+    texts = [a + core + b for core in cores for a in ["", *spaces] for b in ["", *spaces, " 　\t"]]
+    found = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", stripped(F.col("t")).alias("u")).collect()
+    assert [x["u"] for x in found] == [None if x["t"] is None else x["t"].strip() for x in found]
+
+    plan = c.start_cleaning(orders).filled.select("category")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 1
